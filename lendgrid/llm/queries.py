@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, hnsw, html_text, langid, licences, lines, mixing, mtree, simhash
+from . import bpe, hnsw, html_text, katz, langid, licences, lines, mixing, mtree, simhash
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -42,6 +42,10 @@ def op7_lines(spark, sf_dir):
     return lines.line_components(table(spark, sf_dir, "documents"))
 
 
+def op8_katz(spark, sf_dir):
+    return katz.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark, sf_dir):
     return simhash.simhash_digest(table(spark, sf_dir, "documents"))
 
@@ -50,5 +54,5 @@ def op10_mix(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licences, op2_hnsw, op3_bpe, op4_html, op5_mtree, op6_language, op7_lines, op9_simhash, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_licences, op2_hnsw, op3_bpe, op4_html, op5_mtree, op6_language, op7_lines, op8_katz, op9_simhash, op10_mix)}
 SQL = {"op10_mix": mixing.MIX_SQL}
