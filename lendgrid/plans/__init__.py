@@ -1,4 +1,4 @@
-from . import records  # noqa: F401
+from . import portfolio, records  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
