@@ -1,4 +1,4 @@
-from . import cuts, portfolio, records, scores  # noqa: F401
+from . import cuts, portfolio, records, results, scores  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
