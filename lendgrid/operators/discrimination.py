@@ -69,6 +69,18 @@ def ranked(long: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     return long.withColumn("__place", place).join(c, [*keys, "s"]).withColumn("r", F.col("__before") + F.col("__place")).drop("__before", "__place")
 
 
+def cumulative_gains(long: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """keys, id, r, bads: running number of bad records from the riskiest down, ties by id.
+
+    Like the rank, the number is that before the record's score plus a running sum among equal scores.
+    """
+    before = Window.partitionBy(*keys).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
+    c = score_counts(long, keys).select(*keys, "s", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__n"), F.coalesce(F.sum("bad").over(before), F.lit(0)).alias("__b"))
+    tie = Window.partitionBy(*keys, "s").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    d = long.withColumns({"__r": F.row_number().over(Window.partitionBy(*keys, "s").orderBy("id")), "__y": F.sum("y").over(tie)}).join(c, [*keys, "s"])
+    return d.select(*keys, "id", (F.col("__n") + F.col("__r")).alias("r"), (F.col("__b") + F.col("__y")).alias("bads"))
+
+
 def rejection_capture(long: DataFrame, shares: Sequence[int] = (5, 10, 15, 20), keys: Sequence[str] = KEY) -> DataFrame:
     """keys, share, capture: percent of the bad among the riskiest ``int(n * share / 100)`` records."""
     r = ranked(long, keys)

@@ -58,10 +58,7 @@ def win7(spark, d):
 
 @query("win8_cumulative_gains", "SELECT score_name, id, r, sum(y) OVER (PARTITION BY score_name ORDER BY r)::BIGINT AS bads FROM ranked", LONG_SQL)
 def win8(spark, d):
-    from pyspark.sql import Window
-
-    r = dis.ranked(long(spark, d))
-    return r.select("score_name", "id", "r", F.sum("y").over(Window.partitionBy("score_name").orderBy("r")).alias("bads"))
+    return dis.cumulative_gains(long(spark, d))
 
 
 @query("met6_delong", """
