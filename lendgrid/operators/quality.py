@@ -89,26 +89,30 @@ def check_duplicates(df: DataFrame, keys: Sequence[str] | None = None, warn: flo
     return d.withColumn("status", F.when(F.col("share") > warn, "warn").otherwise("pass"))
 
 
-def dq_report(df: DataFrame, indicators: Sequence[str], period: tuple[str, str], required: Sequence[str], exempt: Sequence[str] = ID_COLUMNS) -> DataFrame:
-    """name, status: one row for each of the nine checks."""
-    worst = lambda d: F.when(F.max(F.when(d == "fail", 2).when(d == "warn", 1).otherwise(0)) == 2, "fail").when(F.max(F.when(d == "fail", 2).when(d == "warn", 1).otherwise(0)) == 1, "warn").otherwise("pass")
+def dq_report(df: DataFrame, indicators: Sequence[str], period: tuple[str, str], required: Sequence[str], exempt: Sequence[str] = ID_COLUMNS, date: str = "mis_date") -> DataFrame:
+    """name, status: one row for each of the nine checks.
+
+    Whatever is a plain aggregate comes from one pass; segment sizes, duplicates and outliers have groupings of their own.
+    """
+    worst = lambda c: F.max(F.when(c == "fail", 2).when(c == "warn", 1).otherwise(0))
+    word = lambda n: F.when(n == 2, "fail").when(n == 1, "warn").otherwise("pass")
     absent = [c for c in required if c not in df.columns]
-    rows = df.sparkSession.createDataFrame([("columns", "fail" if absent else "pass")], "name string, status string")
     checked = [c for c in df.columns if c not in exempt]
-    named = lambda d, name, status=None: d.agg((worst(F.col("status")) if status is None else status).alias("status")).select(F.lit(name).alias("name"), "status")
-    parts = [
-        named(check_missing(df, checked), "missing"),
-        named(check_segment_size(df), "segment_size"),
-        named(df.limit(1), "segment_exists", F.when(F.count("*") > 0, "pass").otherwise("fail")),
-        named(check_date_range(df, *period), "date_range", F.when(F.max(F.greatest("gap_start", "gap_end")) > 0, "warn").otherwise("pass")),
-        named(check_outliers(df, indicators), "outliers"),
-        named(check_indicator_values(df, indicators), "negative", F.when(F.sum("n_negative") > 0, "warn").otherwise("pass")),
-        named(check_booked_ratio(df), "booked_ratio"),
-        named(check_duplicates(df, ["authorization_id"]), "duplicates"),
-    ]
-    for p in parts:
-        rows = rows.unionByName(p)
-    return rows
+    nulls = [F.avg(F.when(F.col(c).isNull(), 1.0).otherwise(0.0)) for c in checked]
+    one = df.agg(
+        F.count("*").alias("n"), F.array_max(F.array(*nulls)).alias("nulls"), F.min(date).alias("first"), F.max(date).alias("last"),
+        F.avg(F.when(F.lower("status_name") == "booked", 1.0).otherwise(0.0)).alias("booked"),
+        F.sum(F.when(F.least(F.lit(0.0), *[F.col(c) for c in indicators]) < 0, 1).otherwise(0)).alias("negative"),
+    )
+    bound = lambda d: F.lit(d).cast("date")
+    row = lambda name, status: F.struct(F.lit(name).alias("name"), status.alias("status"))
+    plain = one.select(F.inline(F.array(
+        row("columns", F.lit("fail" if absent else "pass")), row("missing", grade(F.col("nulls"), 0.05, 0.20)), row("segment_exists", F.when(F.col("n") > 0, "pass").otherwise("fail")),
+        row("date_range", F.when((F.col("first") > bound(period[0])) | (F.col("last") < bound(period[1])), "warn").otherwise("pass")),
+        row("negative", F.when(F.col("negative") > 0, "warn").otherwise("pass")), row("booked_ratio", F.when(F.col("booked") < 0.01, "fail").when(F.col("booked") < 0.05, "warn").otherwise("pass")),
+    )))
+    named = lambda d, name: d.agg(word(worst(F.col("status"))).alias("status")).select(F.lit(name).alias("name"), "status")
+    return plain.union(named(check_segment_size(df), "segment_size")).union(named(check_outliers(df, indicators), "outliers")).union(named(check_duplicates(df, ["authorization_id"]), "duplicates"))
 
 
 def validate_or_fail(report: DataFrame) -> DataFrame:

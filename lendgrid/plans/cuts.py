@@ -9,7 +9,7 @@ from .portfolio import CELLS_SQL, cells, rounded
 from .registry import booked, demand, query
 
 ORDER = [4, 3, 2, 1]  # bins of the first variable, safest first
-TARGETS = [68.0, 72.0, 76.0, 80.0, 84.0, 90.0]
+TARGETS = [9.5, 10.5, 11.0, 11.5, 12.0, 13.0]
 FIXED = {4: 4, 3: 3, 2: 2, 1: 1}
 
 LEVELS_SQL = CELLS_SQL + """,
@@ -101,11 +101,11 @@ def cut6(spark, d):
 
 
 @query("cut7_monotonicity_violations", """
-WITH m AS (SELECT score_rf_bin, risk_score_rf_bin, (100 * todu_30ever_h6_boo * 7 / todu_amt_pile_h6_boo < 85)::INT AS accept FROM cells)
+WITH m AS (SELECT score_rf_bin, risk_score_rf_bin, (100 * todu_30ever_h6_boo * 7 / todu_amt_pile_h6_boo < 11)::INT AS accept FROM cells)
 SELECT 'score_rf_bin' AS dimension, s.score_rf_bin, s.risk_score_rf_bin FROM m s JOIN m r ON r.risk_score_rf_bin = s.risk_score_rf_bin AND r.score_rf_bin = s.score_rf_bin - 1 WHERE s.accept = 0 AND r.accept = 1
 UNION ALL SELECT 'risk_score_rf_bin', s.score_rf_bin, s.risk_score_rf_bin FROM m s JOIN m r ON r.score_rf_bin = s.score_rf_bin AND r.risk_score_rf_bin = s.risk_score_rf_bin + 1 WHERE s.accept = 0 AND r.accept = 1""", CELLS_SQL)
 def cut7(spark, d):
-    m = cells(spark, d).withColumn("accept", F.when(F.lit(100) * F.col("todu_30ever_h6_boo") * 7 / F.col("todu_amt_pile_h6_boo") < 85, 1).otherwise(0))
+    m = cells(spark, d).withColumn("accept", F.when(F.lit(100) * F.col("todu_30ever_h6_boo") * 7 / F.col("todu_amt_pile_h6_boo") < 11, 1).otherwise(0))
     return cut.monotonicity_violations(m, {"score_rf_bin": False, "risk_score_rf_bin": True}, keys=())
 
 
@@ -143,7 +143,7 @@ PERTURBED = [-30.0, -15.0, -5.0, 5.0, 15.0, 30.0]
 PERT_SQL = LEVELS_SQL + f""",
 pl AS (SELECT unnest({sorted([0.0, *PERTURBED])})::DOUBLE AS level_pct),
 pc AS (SELECT level_pct, score_rf_bin, risk_score_rf_bin, oa_amt_h0::DECIMAL(20,4) AS p, (todu_30ever_h6_boo + todu_30ever_h6_rep * (1 + level_pct / 100))::DECIMAL(20,4) AS a, todu_amt_pile_h6::DECIMAL(20,4) AS t FROM cells, pl),
-plv AS (SELECT k.level_pct, b AS score_rf_bin, l AS level, coalesce(sum(p), 0) AS p, round(7.0::DOUBLE * coalesce(sum(a), 0)::DOUBLE - 76.0::DOUBLE / 100 * coalesce(sum(t), 0)::DOUBLE, 4)::DECIMAL(20,4) AS s FROM pl k CROSS JOIN range(1, 5) x(b) CROSS JOIN range(0, 5) y(l) LEFT JOIN pc ON pc.level_pct = k.level_pct AND score_rf_bin = b AND risk_score_rf_bin <= l GROUP BY 1, 2, 3),
+plv AS (SELECT k.level_pct, b AS score_rf_bin, l AS level, coalesce(sum(p), 0) AS p, round(7.0::DOUBLE * coalesce(sum(a), 0)::DOUBLE - 11.0::DOUBLE / 100 * coalesce(sum(t), 0)::DOUBLE, 4)::DECIMAL(20,4) AS s FROM pl k CROSS JOIN range(1, 5) x(b) CROSS JOIN range(0, 5) y(l) LEFT JOIN pc ON pc.level_pct = k.level_pct AND score_rf_bin = b AND risk_score_rf_bin <= l GROUP BY 1, 2, 3),
 pm AS (SELECT level_pct, solution, sum(p) AS production, sum(s) AS slack FROM cuts JOIN plv USING (score_rf_bin, level) GROUP BY 1, 2),
 pb AS (SELECT level_pct, solution, production::DOUBLE AS production FROM (SELECT *, row_number() OVER (PARTITION BY level_pct ORDER BY production DESC, slack, solution) AS k FROM pm WHERE slack <= 0) WHERE k = 1),
 pa AS (SELECT pb.level_pct, pb.solution, pb.production, c.score_rf_bin, v AS risk_score_rf_bin, (v <= level)::INT AS accept FROM pb JOIN cuts c USING (solution) CROSS JOIN range(1, 5) z(v)),
@@ -152,14 +152,14 @@ pd AS (SELECT pa.*, b.accept AS base FROM pa JOIN pa b ON b.level_pct = 0 AND b.
 
 @query("cut11_sensitivity", "SELECT level_pct, count(*) FILTER (base <> accept) AS n_flips, count(*) FILTER (base = 1 AND accept = 0) AS accept_to_reject, count(*) FILTER (base = 0 AND accept = 1) AS reject_to_accept, any_value(production) AS production, any_value(solution) AS path FROM pd GROUP BY 1", PERT_SQL)
 def cut11(spark, d):
-    return cut.sensitivity(cells(spark, d), PERTURBED, 76.0, ORDER)
+    return cut.sensitivity(cells(spark, d), PERTURBED, 11.0, ORDER)
 
 
 @query("cut12_cell_flip_threshold", """
 SELECT score_rf_bin, risk_score_rf_bin, base, t AS threshold, CASE WHEN t IS NULL THEN 'stable' WHEN base = 1 THEN 'to_reject' ELSE 'to_accept' END AS direction FROM (
  SELECT score_rf_bin, risk_score_rf_bin, base, (list(level_pct ORDER BY abs(level_pct), level_pct) FILTER (accept <> base))[1] AS t FROM pd GROUP BY 1, 2, 3)""", PERT_SQL)
 def cut12(spark, d):
-    return cut.cell_flip_threshold(cells(spark, d), PERTURBED, 76.0, ORDER)
+    return cut.cell_flip_threshold(cells(spark, d), PERTURBED, 11.0, ORDER)
 
 
 @query("cut13_marginal_impact", f"""
@@ -173,16 +173,16 @@ def cut13(spark, d):
 
 
 @query("top1_select_scenario", """
-WITH t AS (SELECT unnest(['strict', 'base', 'loose', 'none']) AS scenario, unnest([74.0, 76.0, 78.0, 1.0])::DOUBLE AS target)
+WITH t AS (SELECT unnest(['strict', 'base', 'loose', 'none']) AS scenario, unnest([10.5, 11.0, 11.5, 1.0])::DOUBLE AS target)
 SELECT scenario, target, solution, oa_amt_h0, risk FROM (SELECT *, row_number() OVER (PARTITION BY scenario ORDER BY (risk <= target) DESC, CASE WHEN risk <= target THEN -risk ELSE risk END, solution) AS k FROM fr, t) WHERE k = 1""", LEVELS_SQL)
 def top1(spark, d):
-    t = spark.createDataFrame([("strict", 74.0), ("base", 76.0), ("loose", 78.0), ("none", 1.0)], "scenario string, target double")
+    t = spark.createDataFrame([("strict", 10.5), ("base", 11.0), ("loose", 11.5), ("none", 1.0)], "scenario string, target double")
     return cut.select_scenario(frontier(spark, d), t).select("scenario", "target", "solution", "oa_amt_h0", "risk")
 
 
-@query("top2_nearest_point", "SELECT solution, oa_amt_h0, risk FROM fr ORDER BY abs(risk - 77), solution LIMIT 1", LEVELS_SQL)
+@query("top2_nearest_point", "SELECT solution, oa_amt_h0, risk FROM fr ORDER BY abs(risk - 11.2), solution LIMIT 1", LEVELS_SQL)
 def top2(spark, d):
-    return cut.nearest_point(frontier(spark, d), 77.0).select("solution", "oa_amt_h0", "risk")
+    return cut.nearest_point(frontier(spark, d), 11.2).select("solution", "oa_amt_h0", "risk")
 
 
 @query("top4_sample_solutions", "SELECT solution, oa_amt_h0 FROM kpi WHERE solution NOT IN (SELECT solution FROM fr) ORDER BY md5('sample' || solution) LIMIT 20", LEVELS_SQL)
@@ -237,7 +237,7 @@ def win5(spark, d):
     return segment_frontiers(spark, d)
 
 
-EXACT_SQL = ("WITH " + ", ".join(f"f{i} AS (SELECT solution, oa_amt_h0::DECIMAL(20,4) AS p, round(oa_amt_h0 * (risk - 78.0::DOUBLE), 4)::DECIMAL(20,4) AS s FROM sf WHERE segment_cut_off = '{s}')" for i, s in enumerate(SEGMENTS)) + """,
+EXACT_SQL = ("WITH " + ", ".join(f"f{i} AS (SELECT solution, oa_amt_h0::DECIMAL(20,4) AS p, round(oa_amt_h0 * (risk - 11.0::DOUBLE), 4)::DECIMAL(20,4) AS s FROM sf WHERE segment_cut_off = '{s}')" for i, s in enumerate(SEGMENTS)) + """,
 a0 AS (SELECT f0.solution || '|' || f1.solution AS path, f0.p + f1.p AS p, f0.s + f1.s AS s FROM f0, f1),
 a1 AS (SELECT f2.solution || '|' || f3.solution || '|' || f4.solution AS path, f2.p + f3.p + f4.p AS p, f2.s + f3.s + f4.s AS s FROM f2, f3, f4),
 pick AS (SELECT a0.path || '|' || a1.path AS path FROM a0, a1 WHERE a0.s + a1.s <= 0 ORDER BY a0.p + a1.p DESC, a0.s + a1.s, a0.path || '|' || a1.path LIMIT 1),
@@ -246,12 +246,12 @@ chosen AS (SELECT unnest(""" + str(SEGMENTS) + """) AS segment_cut_off, unnest(s
 
 @query("cut18_allocate_exact", EXACT_SQL + " SELECT sf.* FROM sf JOIN chosen USING (segment_cut_off, solution)", SEG_SQL)
 def cut18(spark, d):
-    return al.allocate_exact(segment_frontiers(spark, d), 78.0, SEGMENTS)
+    return al.allocate_exact(segment_frontiers(spark, d), 11.0, SEGMENTS)
 
 
 RANKED_SQL = """
 WITH f AS (SELECT *, row_number() OVER w AS k, oa_amt_h0 - coalesce(lag(oa_amt_h0) OVER w, 0) AS dp, oa_amt_h0 * risk - coalesce(lag(oa_amt_h0 * risk) OVER w, 0) AS dm FROM sf WINDOW w AS (PARTITION BY segment_cut_off ORDER BY risk, solution)),
-h AS (SELECT *, round(dm - dp * 78.0::DOUBLE, 4)::DECIMAL(20,4) AS ds, CASE WHEN k > 1 THEN dp / CASE WHEN dm > 0 THEN dm END END AS e0 FROM f),
+h AS (SELECT *, round(dm - dp * 11.0::DOUBLE, 4)::DECIMAL(20,4) AS ds, CASE WHEN k > 1 THEN dp / CASE WHEN dm > 0 THEN dm END END AS e0 FROM f),
 i AS (SELECT *, CASE WHEN k = 1 THEN 'infinity'::DOUBLE ELSE min(coalesce(e0, 1e308)) OVER (PARTITION BY segment_cut_off ORDER BY risk, solution) END AS e FROM h),
 j AS (SELECT *, sum(ds) OVER (ORDER BY e DESC, segment_cut_off, k) AS run FROM i),
 m AS (SELECT *, max(CASE WHEN k > 1 THEN run END) OVER (ORDER BY e DESC, segment_cut_off, k) AS worst FROM j),
@@ -260,13 +260,13 @@ chosen AS (SELECT segment_cut_off, solution, oa_amt_h0, risk FROM (SELECT *, row
 
 @query("cut19_allocate_ranked", RANKED_SQL + " SELECT * FROM chosen", SEG_SQL)
 def cut19(spark, d):
-    return al.allocate_ranked(segment_frontiers(spark, d), 78.0)
+    return al.allocate_ranked(segment_frontiers(spark, d), 11.0)
 
 
 @query("cut20_allocation_table", RANKED_SQL + """ SELECT segment_cut_off, production, mass / production AS risk, production / max(production) OVER () AS share FROM (
  SELECT segment_cut_off, sum(oa_amt_h0::DECIMAL(28,4))::DOUBLE AS production, sum(round(oa_amt_h0 * risk, 4)::DECIMAL(28,4))::DOUBLE AS mass FROM chosen GROUP BY ROLLUP (1))""", SEG_SQL)
 def cut20(spark, d):
-    return al.allocation_table(al.allocate_ranked(segment_frontiers(spark, d), 78.0))
+    return al.allocation_table(al.allocate_ranked(segment_frontiers(spark, d), 11.0))
 
 
 DIR_SQL = """

@@ -15,7 +15,7 @@ STRESS, FINANCING, COEFFICIENT = 1.25, 0.8, 1.0
 
 def fixed_risk():
     """A linear risk surface of the two bins."""
-    return F.lit(0.9) - F.lit(0.03) * F.col("score_rf_bin") + F.lit(0.05) * F.col("risk_score_rf_bin")
+    return F.lit(0.09) - F.lit(0.003) * F.col("score_rf_bin") + F.lit(0.005) * F.col("risk_score_rf_bin")
 
 
 CELLS_SQL = COMMON_SQL + """,
@@ -23,7 +23,7 @@ boo AS (SELECT score_rf_bin, risk_score_rf_bin, sum(todu_30ever_h6::DECIMAL(20,4
 rates AS (SELECT score_rf_bin, risk_score_rf_bin, n_booked, n_rejected, CASE WHEN n_booked + n_rejected > 0 THEN n_booked::DOUBLE / (n_booked + n_rejected) ELSE 1.0 END AS acceptance_rate FROM (
   SELECT score_rf_bin, risk_score_rf_bin, count(*) FILTER (status_name = 'booked') AS n_booked, count(*) FILTER (status_name = 'rejected' AND reject_reason = '09-score') AS n_rejected FROM demand GROUP BY 1, 2)),
 rej AS (SELECT score_rf_bin, risk_score_rf_bin, sum(oa_amt::DECIMAL(20,4))::DOUBLE AS oa_amt_h0_rep FROM demand WHERE status_name = 'rejected' AND reject_reason = '09-score' GROUP BY 1, 2),
-scored AS (SELECT *, ratio_rep * todu_amt_pile_h6_rep / 7.0::DOUBLE AS todu_30ever_h6_rep FROM (SELECT *, 0.97::DOUBLE * oa_amt_h0_rep + 1500.0::DOUBLE AS todu_amt_pile_h6_rep, greatest(1.25::DOUBLE * (0.9::DOUBLE - 0.03::DOUBLE * score_rf_bin + 0.05::DOUBLE * risk_score_rf_bin), 0.0) AS ratio_rep FROM rej)),
+scored AS (SELECT *, ratio_rep * todu_amt_pile_h6_rep / 7.0::DOUBLE AS todu_30ever_h6_rep FROM (SELECT *, 0.97::DOUBLE * oa_amt_h0_rep + 1500.0::DOUBLE AS todu_amt_pile_h6_rep, greatest(1.25::DOUBLE * (0.09::DOUBLE - 0.003::DOUBLE * score_rf_bin + 0.005::DOUBLE * risk_score_rf_bin), 0.0) AS ratio_rep FROM rej)),
 up AS (SELECT score_rf_bin, risk_score_rf_bin, oa_amt_h0_rep, todu_amt_pile_h6_rep, ratio_rep, uplift, todu_30ever_h6_rep * uplift AS todu_30ever_h6_rep FROM (
   SELECT s.*, least(greatest(1.0::DOUBLE + 1.0::DOUBLE * (1 - coalesce(acceptance_rate, 1.0)), 1.0), 3.0) AS uplift FROM scored s LEFT JOIN rates USING (score_rf_bin, risk_score_rf_bin))),
 cells AS (SELECT *, todu_30ever_h6_boo + todu_30ever_h6_rep AS todu_30ever_h6, todu_amt_pile_h6_boo + todu_amt_pile_h6_rep AS todu_amt_pile_h6, oa_amt_h0_boo + oa_amt_h0_rep AS oa_amt_h0 FROM (
@@ -185,19 +185,19 @@ def ml13(spark, d):
 @query("ml15_recent_period_summary", """
 WITH train AS (SELECT score_rf_bin, risk_score_rf_bin, round_even(7.0::DOUBLE * todu_30ever_h6_boo / nullif(todu_amt_pile_h6_boo, 0), 2) AS risk FROM boo),
 n AS (SELECT score_rf_bin, risk_score_rf_bin, sum(oa_amt_h0::DECIMAL(20,4))::DOUBLE AS production FROM recent_booked GROUP BY 1, 2)
-SELECT score_rf_bin, risk_score_rf_bin, production, round(0.97::DOUBLE * production + 1500.0::DOUBLE, 4) AS exposure, risk IS NULL AS unseen, round(coalesce(risk, 1.25::DOUBLE * (0.9::DOUBLE - 0.03::DOUBLE * score_rf_bin + 0.05::DOUBLE * risk_score_rf_bin)), 6) AS risk,
- round(coalesce(risk, 1.25::DOUBLE * (0.9::DOUBLE - 0.03::DOUBLE * score_rf_bin + 0.05::DOUBLE * risk_score_rf_bin)) * (0.97::DOUBLE * production + 1500.0::DOUBLE) / 7.0, 4) AS arrears FROM n LEFT JOIN train USING (score_rf_bin, risk_score_rf_bin)""", CELLS_SQL)
+SELECT score_rf_bin, risk_score_rf_bin, production, round(0.97::DOUBLE * production + 1500.0::DOUBLE, 4) AS exposure, risk IS NULL AS unseen, round(coalesce(risk, 1.25::DOUBLE * (0.09::DOUBLE - 0.003::DOUBLE * score_rf_bin + 0.005::DOUBLE * risk_score_rf_bin)), 6) AS risk,
+ round(coalesce(risk, 1.25::DOUBLE * (0.09::DOUBLE - 0.003::DOUBLE * score_rf_bin + 0.005::DOUBLE * risk_score_rf_bin)) * (0.97::DOUBLE * production + 1500.0::DOUBLE) / 7.0, 4) AS arrears FROM n LEFT JOIN train USING (score_rf_bin, risk_score_rf_bin)""", CELLS_SQL)
 def ml15(spark, d):
     from ..operators.recent import recent_period_cells
 
     return rounded(recent_period_cells(booked(spark, d), booked(spark, d, pop.RECENT), fixed_risk() * STRESS, EXPOSURE))
 
 
-@query("jn7_unseen_cells", "SELECT DISTINCT score_rf_bin, risk_score_rf_bin, segment_cut_off FROM recent_booked r WHERE NOT EXISTS (SELECT 1 FROM booked b WHERE b.score_rf_bin = r.score_rf_bin AND b.risk_score_rf_bin = r.risk_score_rf_bin AND b.segment_cut_off = r.segment_cut_off)")
+@query("jn7_unseen_cells", "SELECT DISTINCT score_rf_bin, risk_score_rf_bin, segment_cut_off, se_decision_id, early_bad FROM recent_booked r WHERE NOT EXISTS (SELECT 1 FROM booked b WHERE b.score_rf_bin = r.score_rf_bin AND b.risk_score_rf_bin = r.risk_score_rf_bin AND b.segment_cut_off = r.segment_cut_off AND b.se_decision_id = r.se_decision_id AND b.early_bad = r.early_bad)")
 def jn7(spark, d):
     from ..operators.recent import unseen_cells
 
-    return unseen_cells(booked(spark, d), booked(spark, d, pop.RECENT), ["segment_cut_off", *cl.CELL])
+    return unseen_cells(booked(spark, d), booked(spark, d, pop.RECENT), ["segment_cut_off", "se_decision_id", "early_bad", *cl.CELL])
 
 
 @query("jn3_full_outer", "SELECT score_rf_bin, coalesce(b, 0) AS n_booked, coalesce(r, 0) AS n_recent FROM (SELECT score_rf_bin, count(*) AS b FROM booked GROUP BY 1) FULL JOIN (SELECT score_rf_bin, count(*) AS r FROM recent_booked GROUP BY 1) USING (score_rf_bin)")

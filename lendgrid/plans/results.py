@@ -118,12 +118,12 @@ def set1(spark, d):
 
 
 CUTSUM_SQL = """
-WITH t AS (SELECT unnest(['strict', 'base', 'loose']) AS scenario, unnest([74.0, 76.0, 78.0])::DOUBLE AS target),
+WITH t AS (SELECT unnest(['strict', 'base', 'loose']) AS scenario, unnest([10.5, 11.0, 11.5])::DOUBLE AS target),
 s AS (SELECT scenario, solution, risk, oa_amt_h0 FROM (SELECT *, row_number() OVER (PARTITION BY scenario ORDER BY (risk <= target) DESC, CASE WHEN risk <= target THEN -risk ELSE risk END, solution) AS k FROM fr, t) WHERE k = 1)"""
 
 
 def chosen(spark, d):
-    t = spark.createDataFrame([("strict", 74.0), ("base", 76.0), ("loose", 78.0)], "scenario string, target double")
+    t = spark.createDataFrame([("strict", 10.5), ("base", 11.0), ("loose", 11.5)], "scenario string, target double")
     s = cut.select_scenario(frontier(spark, d), t).select("scenario", "solution", "risk", "oa_amt_h0")
     cuts = cut.solution_cuts(solutions(spark, d), ORDER).join(F.broadcast(s.select("scenario", "solution")), "solution")
     return cuts.select("scenario", "score_rf_bin", "level"), s
