@@ -17,6 +17,7 @@ def allocate_exact(frontiers: DataFrame, target: float, segments: Sequence[str],
     A fold over the segments joins each frontier to the partial sums and prunes dominated ones: exact. ``bounds``
     (segment, low, high) restrict risks. Without a feasible choice there are no rows.
     """
+    frontiers = frontiers.cache()  # a row per frontier point, read once for each segment
     f = frontiers
     if bounds is not None:
         f = f.join(F.broadcast(bounds), SEGMENT, "left").where("(low IS NULL OR risk >= low) AND (high IS NULL OR risk <= high)")

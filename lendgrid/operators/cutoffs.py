@@ -95,7 +95,8 @@ def frontier_by_target(levels: DataFrame, targets: DataFrame, order: Sequence[in
     ``targets`` has ``target`` and, if wanted, ``keys``; ``allowed`` (v0, low, high) pins levels. Slack is multiplier *
     arrears - target * exposure and must end at 0 or less; ties: less slack, then path.
     """
-    lv = levels.select(*keys, v0, "level", F.col("oa_amt_h0").alias("p"), "todu_30ever_h6", "todu_amt_pile_h6")
+    # A few numbers per cell, read once for each bin: kept, so that the records behind them are read once.
+    lv = levels.select(*keys, v0, "level", F.col("oa_amt_h0").alias("p"), "todu_30ever_h6", "todu_amt_pile_h6").cache()
     if allowed is not None:
         lv = lv.join(F.broadcast(allowed), v0, "left").where("(low IS NULL OR level >= low) AND (high IS NULL OR level <= high)").drop("low", "high")
     if keys and "target" in targets.columns and not set(keys) <= set(targets.columns):
