@@ -1,6 +1,6 @@
 """Katz backoff language model: counted, discounted, normalised and evaluated in buckets of contexts.
 
-The corpus is read once. Each task turns its documents into chunks and writes, for every bucket of
+Each task turns its documents into chunks and writes, for every bucket of
 context words, one compact block: the bigrams of the chunk, their training counts and the documents
 they occur in. A bucketed table holds the blocks, so that both later passes find all blocks of a
 context together without another shuffle: one pass merges counts and takes the counts of counts, the
@@ -19,9 +19,11 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import written
+from .scratch import release, written
 
-CHUNK_TOKENS, CUT = 2_000_000, 5
+CHUNK_TOKENS, CUT = 1_500_000, 5
+#: The corpus is read once a round, each for its share of the buckets: what is shuffled at once shrinks accordingly.
+ROUNDS = 2
 BEGIN, END = b"\n<s>", b"\n</s>"  # no word holds white space
 
 
@@ -54,13 +56,13 @@ class _Vocabulary(dict):
         return n
 
 
-def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets: int):
-    """Rows (kind, bucket, payload) of one chunk: bigrams 'b', words 'u', documents 'm'."""
-    hashed = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets: int, turn: int):
+    """Rows (kind, bucket, payload) of one chunk: bigrams 'b', words 'u', documents 'm', for the buckets of this round."""
+    hashed = np.fromiter((xxhash.xxh64_intdigest(w) >> 16 for w in words), np.uint64, len(words))
     lengths = np.array([len(x) - 1 for x in ids])
     known = np.array([not d[1] for d in docs])
     doc = np.repeat(np.arange(len(docs), dtype=np.uint32), lengths)
-    before, after = np.concatenate([x[:-1] for x in ids]).astype(np.int64), np.concatenate([x[1:] for x in ids]).astype(np.int64)
+    before, after = np.concatenate([x[:-1] for x in ids]), np.concatenate([x[1:] for x in ids])
     counts = np.bincount(after, weights=np.repeat(known, lengths), minlength=len(words)).astype(np.uint32)
     # Contexts in the order of their bucket and hash; then one sort gives bigrams, counts and postings.
     home = (hashed % np.uint64(buckets)).astype(np.int64)
@@ -70,6 +72,7 @@ def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets
     rank = np.empty(len(words), np.int64)
     rank[np.argsort(hashed)] = np.arange(len(words))
     key = place[before] * len(words) + rank[after]
+    del before, after
     sort = np.argsort(key, kind="stable")
     key, doc = key[sort], doc[sort]
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -79,28 +82,29 @@ def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets
     where = home[pre]
     edges = np.searchsorted(where, np.arange(buckets + 1))
     tokens = np.append(starts, len(key))
-    for b in range(buckets):
+    for b in range(turn, buckets, ROUNDS):
         lo, hi = edges[b], edges[b + 1]
         if lo < hi:
             p = hashed[pre[lo:hi]]
             runs = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
             yield "b", b, pack(p[runs], np.diff(np.append(runs, hi - lo)).astype(np.uint32), cur[lo:hi], train[lo:hi], times[lo:hi], doc[tokens[lo] : tokens[hi]])
-    for b in range(buckets):
+    for b in range(turn, buckets, ROUNDS):
         own = order[np.searchsorted(home[order], b) : np.searchsorted(home[order], b + 1)]
         own = own[counts[own] > 0]
         if len(own):
             yield "u", b, pack(hashed[own], counts[own])
-    yield "m", int(hashed[0] % np.uint64(buckets)), pack(
-        np.array([d[0] or 0 for d in docs], np.int64), np.array([d[0] is None for d in docs], np.uint8), ~known, lengths.astype(np.int64)
-    )
+    if turn == 0:
+        yield "m", int(hashed[-1] % np.uint64(buckets)), pack(
+            np.array([d[0] or 0 for d in docs], np.int64), np.array([d[0] is None for d in docs], np.uint8), ~known, lengths.astype(np.int64)
+        )
 
 
-def _emit(buckets: int):
+def _emit(buckets: int, turn: int):
     def emit(batches):
         part, seq, docs, ids, n, words = TaskContext.get().partitionId(), 0, [], [], 0, _Vocabulary()
 
         def rows():
-            kinds, homes, payloads = zip(*_chunk(docs, ids, words, buckets))
+            kinds, homes, payloads = list(zip(*_chunk(docs, ids, words, buckets, turn))) or ((), (), ())
             return pa.RecordBatch.from_arrays(
                 [pa.array(kinds), pa.array(homes, pa.int32()), pa.array([part] * len(kinds), pa.int32()), pa.array([seq] * len(kinds), pa.int32()), pa.array(payloads, pa.binary())],
                 ["kind", "bucket", "part", "seq", "payload"],
@@ -266,7 +270,7 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     rest over the unigram mass of the words not seen after it, so each context sums to exactly 1.
     Contexts without any discount count one more event, so that a rest exists.
 
-    Words are held by 64-bit hashes. Null and empty texts hold just the end token; a null doc_id is
+    Words are held by 48-bit hashes. Null and empty texts hold just the end token; a null doc_id is
     trained on, not held out; repeated rows count each. No training documents: every
     token is unknown with probability 1, and the base's N and V are 0. An empty table gives none.
     """
@@ -274,8 +278,11 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
     name = f"lendgrid_grams_{uuid.uuid4().hex}"
-    grams = d.mapInArrow(_emit(buckets), "kind string, bucket int, part int, seq int, payload binary")
-    grams.repartition(buckets, "bucket").write.option("compression", "none").bucketBy(buckets, "bucket").saveAsTable(name)
+    for turn in range(ROUNDS):
+        grams = d.mapInArrow(_emit(buckets, turn), "kind string, bucket int, part int, seq int, payload binary").repartition(buckets, "bucket")
+        grams.write.mode("append").option("compression", "none").bucketBy(buckets, "bucket").saveAsTable(name)
+        del grams
+        release(spark)
     table = spark.table(name)
     counted = written(table.where("kind <> 'm'").groupBy("bucket").applyInPandas(_count(buckets), "kind string, to int, source int, payload binary"))
     tally = np.zeros(2 * (CUT + 3), np.int64)
