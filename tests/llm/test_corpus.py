@@ -221,7 +221,7 @@ def test_language(spark):
 def test_backoff_gets_shorter():
     m = langid.Model([("a", "thing", 5), ("b", "ding", 5)])
     assert m.predict("thing")[0] == "a" and m.predict("things")[0] == "a" and m.predict("dd")[0] == "b"
-    assert m.backoff("§") is not None or m.backoff("§") is None
+    assert m.backoff("§") is not None  # the padding's space is known
 
 
 # --- lines --------------------------------------------------------------------------------------
