@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .scratch import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 SALTS = 64
 
@@ -14,6 +16,12 @@ def _bucket(size: Column) -> Column:
     return F.when(size < 100, size).otherwise(F.length(s) * 100 + F.substring(s, 1, 2).cast("long"))
 
 
+def sized(docs: DataFrame) -> DataFrame:
+    """Adds __size, the number of words. The generator keeps Spark from evaluating the count wherever it is used."""
+    n = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select("*", F.explode(F.array(n)).alias("__size"))
+
+
 def source_targets(sizes: DataFrame, cap: int = 3, cycle: int = 3) -> DataFrame:
     """(skey, source, size) -> (skey, source_size, target, rate): one row per source.
 
@@ -58,20 +66,19 @@ def mix_sources(docs: DataFrame, seed: str = "mix", cap: int = 3) -> DataFrame:
     text: size 0. Null source: a source of its own, last. Null doc_id: orders as -1. Repeated rows
     count each. An empty table gives an empty one. Reruns give the same rows.
     """
-    d = docs.withColumn("__size", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long"))
+    return _mixed(sized(docs), seed, cap)
+
+
+def _mixed(d: DataFrame, seed: str = "mix", cap: int = 3) -> DataFrame:
+    columns = [c for c in d.columns if c != "__size"]
     d = d.withColumn("__skey", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")))
     d = d.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
     d = d.withColumn("__bucket", _bucket(F.col("__size"))).withColumn("__salt", F.pmod("__id", F.lit(SALTS)))
+    slim = d.select(F.col("__skey").alias("skey"), F.col("__bucket").alias("bucket"), F.col("__salt").alias("salt"), F.col("__size").alias("size"), "source")
     keys = ["__skey", "__bucket", "__salt"]
     d = d.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy("__size", "__id")))
 
-    slim = docs.select(
-        F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("skey"),
-        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        "source",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"),
-    )
-    groups = slim.groupBy("skey", _bucket(F.col("size")).alias("bucket"), F.pmod("id", F.lit(SALTS)).alias("salt")).agg(
+    groups = slim.groupBy("skey", "bucket", "salt").agg(
         F.count("*").alias("n"), F.sum("size").alias("size"), F.first("source").alias("source")
     )
     before = Window.partitionBy("skey").orderBy("bucket", "salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,15 +93,15 @@ def mix_sources(docs: DataFrame, seed: str = "mix", cap: int = 3) -> DataFrame:
     k = (F.col("__before") + F.col("__rank")).cast("double")
     copies = F.floor(k * F.col("__rate") + u) - F.floor((k - 1) * F.col("__rate") + u)
     return m.select(
-        *[F.col(f"`{c}`") for c in docs.columns], "__size", "__source_size", "__target",
+        *[F.col(f"`{c}`") for c in columns], "__size", "__source_size", "__target",
         F.least(copies, F.lit(cap)).cast("long").alias("__copies"),
     )
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words of each document that the mix takes."""
-    slim = docs.select("doc_id", "text", "source")
-    return mix_sources(slim).select(
+    slim = written(sized(docs.select("doc_id", "text", "source")).drop("text"))
+    return _mixed(slim).select(
         "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
         F.col("__target").alias("target"), (F.col("__copies") * F.col("__size")).alias("taken"),
     )
