@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .scratch import written
 from .vectors import matrix, usable
 
-TREE_ROWS, PAGE, BLOCK = 8192, 64, 256
+TREE_ROWS, PAGE, BLOCK = 8192, 256, 256
 
 
 class Tree:
@@ -171,7 +171,8 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, tree_
         trees = trees.select(F.pmod(F.xxhash64("part", "seq"), F.lit(slots)).alias("slot"), "tree")
         blocks = q.where(F.size("embedding") == n).mapInArrow(_blocks, "block binary")
         blocks = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"), "block")
-        found = trees.join(blocks, "slot").select("tree", "block").mapInArrow(_search(k), "query_id long, vec_id long, score long")
+        # Little data, much work: the number of partitions is given, so that Spark doesn't merge them by size.
+        found = trees.repartition(slots, "slot").join(blocks.repartition(slots, "slot"), "slot").select("tree", "block").mapInArrow(_search(k), "query_id long, vec_id long, score long")
         out = found if out is None else out.union(found)
     if out is None:
         out = v.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
