@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .scratch import release, written
 
-CHUNK_TOKENS, CUT = 1_500_000, 5
+CHUNK_TOKENS, CUT = 1_200_000, 5
 #: The corpus is read once a round, each for its share of the buckets: what is shuffled at once shrinks accordingly.
 ROUNDS = 2
 BEGIN, END = b"\n<s>", b"\n</s>"  # no word holds white space
