@@ -268,6 +268,34 @@ def test_line_components(spark):
     assert lines.line_components(docs(spark, [])).count() == 0 and lines.dedup_lines(docs(spark, [])).count() == 0
 
 
+def test_signatures_see_every_shingle(spark):
+    rng, made = random.Random(5), []
+    while len(made) < 600:
+        x = words(rng, rng.randint(8, 30), 5000)
+        if len(made) % 3 == 1:
+            x = x.replace(" ", "")
+        y = list(x)
+        if len(made) % 3 == 2:
+            y += [" ", rng.choice("0123456789")]
+            x += f" {rng.choice('abc')}"
+        else:
+            for k in rng.sample(range(len(y)), max(1, len(y) // 50)):
+                y[k] = rng.choice("0123456789")
+        a, b = shingle_set(x), shingle_set("".join(y))
+        if 0.8 <= len(a & b) / len(a | b) < 1:
+            made.append((x, "".join(y)))
+    rows = [(2 * i + k, pair[k], None, None) for i, pair in enumerate(made) for k in (0, 1)]
+    sigs = lines.signatures(lines.document_lines(docs(spark, rows)))
+    by = {r.k1: r for r in sigs.collect()}
+    key = lambda x: xxhash.xxh64(x.encode(), seed=42).intdigest()
+    sign = lambda k: k - (1 << 64) if k >> 63 else k
+    met = 0
+    for x, y in made:
+        p, q = (by[sign(key(z))] for z in (x, y))
+        met += any(all(p[f"m{b * lines.ROWS + i}"] == q[f"m{b * lines.ROWS + i}"] for i in range(lines.ROWS)) for b in range(lines.BANDS))
+    assert met / len(made) >= 0.98
+
+
 def test_crowded_bands_use_leaders(spark):
     rng = random.Random(1)
     w = words(rng, 40, 5000).split()
