@@ -304,6 +304,36 @@ def test_crowded_bands_use_leaders(spark):
     assert [r[0] for r in got] == [0]
 
 
+def test_crowded_bands_lose_no_pair(spark):
+    rng, rows = random.Random(2), []
+    shared = [f"shared{i}" for i in range(20)]
+    for i in range(250):
+        own = [f"{rng.randrange(10**6):06d}" for _ in range(5)]
+        x = " ".join([*shared[:10], *own[:3], *shared[10:], *own[3:]])
+        y = " ".join(f"{w[:2]}x{w[3:]}" if w in own[3:] else w for w in x.split())
+        a, b = shingle_set(x), shingle_set(y)
+        assert 0.8 <= len(a & b) / len(a | b) < 0.9
+        rows += [(2 * i, x, None, None), (2 * i + 1, y, None, None)]
+    shared_bands = lines.shared_bands(lines.signatures(lines.document_lines(docs(spark, rows))))
+    crowded = {r[0] for r in lines.document_lines(docs(spark, rows)).select("doc_id", lines.F.xxhash64("norm").alias("k1")).join(shared_bands.where(shared_bands.n > lines.CROWDED), "k1").select("doc_id").collect()}
+    pairs = [i for i in range(250) if {2 * i, 2 * i + 1} <= crowded]
+    got = {r.doc_id: r.keep_doc_id for r in lines.line_components(docs(spark, rows)).collect()}
+    assert len(pairs) > 50 and [i for i in pairs if got[2 * i + 1] != got[2 * i]] == []
+    assert sum(got[2 * i + 1] == got[2 * i] for i in range(250)) >= 245
+
+
+def test_prefix_pairs_are_complete(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SALTED", 3)
+    rng = random.Random(3)
+    sets = [(i, rng.sample(range(-40, 40), rng.randint(1, 30))) for i in range(60)]
+    sets += [(100 + i, (g + [50] if len(g) < 10 else g[1:] + [51]) if i % 2 else g) for i, g in sets]
+    s = spark.createDataFrame(sets, "k1 long, g array<int>")
+    roots = spark.createDataFrame([(k, k) for k, _ in sets], "k1 long, root long")
+    want = {(min(a, b), max(a, b)) for a, g in sets for b, h in sets if a < b and len({*g} & {*h}) >= 0.8 * len({*g} | {*h})}
+    got = [(min(r.a, r.b), max(r.a, r.b)) for r in lines.links(lines.prefix_pairs(s, roots), s).collect()]
+    assert len(want) > 50 and len(got) == len(set(got)) and set(got) == want
+
+
 # --- language model -----------------------------------------------------------------------------
 
 
