@@ -20,6 +20,7 @@ TEMPLATES = {
     "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
     "ISC": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
     "BSD-2-Clause": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "BSD-3-Clause": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
     "BSD notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
     "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
@@ -75,37 +76,65 @@ class Scanner:
                 top = dice, self.names[k]
         return top
 
+    def windows(self, words: list[str]) -> list[tuple[float, int, int, str]]:
+        """(dice, first word, last word, licence): for each template every start's best run of words at the threshold or above.
+
+        A best run begins and ends with a bigram of the template that it holds once, and has no more
+        distinct bigrams than the size bound allows; all such runs are tried.
+        """
+        pairs = list(zip(words, words[1:]))
+        seen = self.known.intersection(pairs)
+        out = []
+        for size, name, grams in zip(self.sizes, self.names, self.grams) if seen else ():
+            if len(seen & grams) < size * self.narrow - 1e-9:
+                continue
+            most = size / self.narrow + 1e-9
+            for i, g in enumerate(pairs):
+                if g not in grams:
+                    continue
+                inside, both, top = {g}, 1, None
+                if size == 1:
+                    top = 1.0, i
+                for j in range(i + 1, len(pairs)):
+                    x = pairs[j]
+                    if x == g:
+                        break
+                    if x in inside:
+                        continue
+                    inside.add(x)
+                    if len(inside) > most:
+                        break
+                    if x in grams:
+                        both += 1
+                        dice = 2 * both / (len(inside) + size)
+                        if dice >= self.least and (top is None or dice > top[0]):
+                            top = dice, j
+                if top:
+                    out.append((top[0], i, top[1] + 1, name))
+        return out
+
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
-        """(licence, dice, first line, last line): the text as a whole, its paragraphs and its lines.
+        """(licence, dice, first line, last line): the best runs of words anywhere in the text.
 
-        Of blocks within one another that match, those with the higher coefficient stay.
+        Of runs that overlap, the one with the highest coefficient stays; ties go to the longer, then the earlier.
         """
-        lines = [normal_words(x) for x in text.split("\n")]
-        found = []
-        first = 0
-        for k in range(len(lines) + 1):
-            if k == len(lines) or not lines[k]:
-                if k - first > 1:
-                    found.append((first, k - 1))
-                first = k + 1
-        blocks = {(k, k) for k, w in enumerate(lines) if w} | set(found) | {(0, len(lines) - 1)}
-        hits = []
-        for a, b in blocks:
-            words = lines[a] if a == b else [w for x in lines[a : b + 1] for w in x]
-            if len(words) > 1 and (top := self.best(words)):
-                hits.append((-top[0], a, b, top[1]))
+        words, at = [], []
+        for k, line in enumerate(text.split("\n")):
+            found = normal_words(line)
+            words += found
+            at += [k] * len(found)
         out, taken = [], []
-        for dice, a, b, name in sorted(hits):
+        for dice, a, b, name in sorted(self.windows(words), key=lambda x: (-x[0], x[1] - x[2], x[1], x[3])):
             if all(b < c or a > d for c, d in taken):
                 taken.append((a, b))
-                out.append((name, -dice, a, b))
-        return sorted(out, key=lambda x: x[2])
+                out.append((a, (name, dice, at[a], at[b])))
+        return [x for _, x in sorted(out)]
 
 
 def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """One row per document: doc_id, licence (the best; null if none), dice, n_found, found.
 
-    ``found`` lists (licence, dice, first_line, last_line) of every matching block. Null and empty texts have none;
+    ``found`` lists (licence, dice, first_line, last_line) of every matching run of words. Null and empty texts have none;
     ties go to the earlier block; null ids and repeated rows stay one row each; an empty table gives none.
     """
 

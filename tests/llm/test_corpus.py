@@ -56,6 +56,17 @@ def test_licences(spark):
     assert licences.scanned(docs(spark, [])).count() == 0
 
 
+def test_licences_inside_documents():
+    s, around = licences.Scanner(licences.TEMPLATES, licences.LEAST), "some words before and after " * 40
+    for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0 header", "GPL-3.0 header"):
+        text = licences.TEMPLATES[name]
+        third = len(text) // 3
+        laid_out = "\n\n".join([around, text[:third].rsplit(" ", 1)[0], text[len(text[:third].rsplit(" ", 1)[0]) :].strip(), around])
+        (got,) = [x for x in s.scan(laid_out) if x[0] == name]
+        assert got == (name, 1.0, 2, 4)
+    assert s.scan("This library of ours is released under the MIT License. See the wiki for more of this and that.") == [("MIT notice", 1.0, 0, 0)]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.sampled_from("licensed under the apache license version 2 0 mit gnu general public this work is".split()), max_size=30))
 def test_size_bounds_lose_no_template(tokens):
