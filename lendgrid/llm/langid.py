@@ -144,13 +144,20 @@ def language_digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
-    """The documents in some language: neither ``und`` nor scored below ``least``; same columns."""
+    """The documents in some language: neither ``und`` nor scored below ``least``; same columns.
+
+    A model without languages can tell none, so then every document with a letter stays.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            got = [m.predict(t.as_py()) for t in batch.column(batch.schema.get_field_index("text"))]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in got], pa.bool_()))
+            texts = [t.as_py() for t in batch.column(batch.schema.get_field_index("text"))]
+            if m.langs:
+                stays = [lang != UNKNOWN and score >= least for lang, score in map(m.predict, texts)]
+            else:
+                stays = [LETTERS.search(t or "") is not None for t in texts]
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -229,6 +229,11 @@ def test_language(spark):
     assert langid.language_digest(docs(spark, [])).count() == 0
 
 
+def test_unlabelled_table_keeps_its_documents(spark):
+    d = docs(spark, [(1, "plain words", None, None), (2, "12 34", None, None), (3, None, None, None), (4, "", None, None), (5, "übrig", None, None)])
+    assert sorted(r.doc_id for r in langid.keep_identified(d, langid.train(d)).collect()) == [1, 5]
+
+
 def test_backoff_gets_shorter():
     m = langid.Model([("a", "thing", 5), ("b", "ding", 5)])
     assert m.predict("thing")[0] == "a" and m.predict("things")[0] == "a" and m.predict("dd")[0] == "b"
