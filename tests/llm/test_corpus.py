@@ -201,6 +201,49 @@ def test_html_odd_inputs(spark):
     assert by[1].text == by[2].text == by[3].text == "" and by[None].text == "plain words only" and by[5].text == "ab cd " * 19999 + "ab cd"
 
 
+def test_html_marks_and_sections(spark):
+    text = html_text.main_text
+    assert text("<article><p>one</p><![foo bar]><p>two words here</p><![ x") == "one two words here"
+    page = "<body><p class='cookie-notice'>We use cookies</p><article><p>Body text of the page goes here.</p><p hidden>no</p><p class=ad>buy</p><p>end</p></article></body>"
+    assert text(page) == "Body text of the page goes here. end"
+    assert text("<article class='post has-comments'><p>Some text here</p></article>") == "Some text here"
+    assert text("<div id=page class=no-sidebar><p>Some text that is long enough</p></div>") == "Some text that is long enough"
+    assert text("<form><div class='article social-policy'><p>text of the page</p></div><div class=ad>x</div></form>") == "text of the page"
+    cards = "<article>card one</article><article>card two</article>"
+    body = "".join(f"<p>Paragraph {i} of a body that is in no article at all, as long as it is.</p>" for i in range(4))
+    assert text(cards + f"<div>{body}</div>").startswith("Paragraph 0") and "card" not in text(cards + f"<div>{body}</div>")
+    rows = [(i, "u", h) for i, h in enumerate(["<![foo bar]>", "<![ x", "<!", "<", "&#x;", "<a b='", "<![CDATA[x]]>y", "<p>" * 3000 + "deep"])]
+    got = {r.page_id: r.text for r in html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == got[1] == "" and got[6] == "y" and got[7] == "deep"
+
+
+def regions_brute(ratios, scoped):
+    """The same by plain sums: kernel, two thresholds, runs with a seed."""
+    n, w = len(ratios), [math.exp(-(d * d) / (2 * html_text.SIGMA**2)) for d in range(html_text.REACH + 1)]
+    near = [[j for j in range(n) if abs(i - j) <= html_text.REACH] for i in range(n)]
+    s = [sum(w[abs(i - j)] * ratios[j] for j in near[i]) / sum(w[abs(i - j)] for j in near[i]) for i in range(n)]
+    mean = sum(s) / n
+    least = min(math.sqrt(sum((x - mean) ** 2 for x in s) / n), max(s) / 2)
+    taken = [False] * n
+    for i in (i for i in range(n) if s[i] >= least and s[i] > 0):
+        for step in (1, -1):
+            j = i
+            while 0 <= j < n and s[j] > 0 and s[j] >= html_text.EDGES[int(scoped[j])] * least:
+                taken[j] = True
+                j += step
+    return taken
+
+
+def test_regions_equal_brute_force():
+    rng = random.Random(9)
+    for _ in range(300):
+        n = rng.randint(1, 40)
+        ratios = [rng.choice([0, 0, 0, 1, 3, rng.random() * 100]) for _ in range(n)]
+        scoped = [rng.random() < 0.5 for _ in range(n)]
+        if any(ratios):
+            assert html_text.regions(html_text.smooth(np.array(ratios, float)), np.array(scoped)).tolist() == regions_brute(ratios, scoped)
+
+
 def test_smoothing_is_gaussian():
     x = np.array([0, 0, 0, 0, 10, 0, 0, 0, 0.0])
     s = html_text.smooth(x)
