@@ -3,28 +3,34 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from .scratch import Tables, few, free_name
 
 LETTERS = re.compile(r"[^\W\d_]+")
-SAMPLE_PER_LANG, WORDS_PER_LANG, LONGEST, PENALTY = 1500, 60_000, 5, 7.0
+SAMPLE_PER_LANG, LONGEST, PENALTY = 1500, 5, 7.0
 UNKNOWN = "und"
+#: A document stays in the corpus from the first score on; from the second on a prediction may contradict its label.
+LEAST, SURE = 0.5, 0.9
 
 
-def sample_labelled(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
+def sample_labelled(docs: DataFrame, tables: Tables, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
     """lang, text of about ``per_lang`` documents a language, all if there are fewer.
 
     Only documents with a language and crc32(doc_id as text) mod 3 other than 1 are eligible. The
     bound is this documented parameter; membership is by a hash of the id, so it doesn't depend on
-    order or partitions.
+    order or partitions. Rows that repeat an id are in or out together.
     """
+    count = free_name(docs, "n")
     can = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
-    per = can.groupBy("lang").agg(F.count("*").alias("__n"))
+    per = tables.written(can.groupBy("lang").agg(F.count("*").alias(count)))
     u = F.pmod(F.xxhash64(F.lit("langid"), F.col("doc_id").cast("string")), F.lit(1 << 40)) / float(1 << 40)
-    return can.join(F.broadcast(per), "lang").where(u * F.col("__n") < per_lang).select("lang", "text")
+    return can.join(few(per), "lang").where(u * F.col(count) < per_lang).select("lang", "text")
 
 
 def held_out():
@@ -57,21 +63,20 @@ class Model:
     def __init__(self, counts: list[tuple[str, str, int]], longest: int = LONGEST):
         self.langs = sorted({lang for lang, _, _ in counts})
         at = {lang: k for k, lang in enumerate(self.langs)}
-        tables: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(len(at))) for _ in range(longest + 1)]
-        for lang, word, n in counts:
-            tables[0][word][at[lang]] += n
-            padded = f" {word} "
-            for size in range(1, longest + 1):
-                for i in range(len(padded) - size + 1):
-                    tables[size][padded[i : i + size]][at[lang]] += n
         self.rows, self.index = [], []
-        for t in tables:
-            grid = np.array(list(t.values())) if t else np.zeros((0, len(at)))
-            total = grid.sum(axis=0)
-            with np.errstate(divide="ignore"):
-                cost = np.where(grid > 0, np.log10(np.maximum(total, 1)) - np.log10(np.maximum(grid, 1)), PENALTY)
-            self.rows.append(cost)
-            self.index.append({w: k for k, w in enumerate(t)})
+        for size in range(longest + 1):
+            index: dict[str, int] = {}
+            cell, times = array("q"), array("q")
+            for lang, word, n in counts:
+                padded = f" {word} "
+                for gram in (padded[i : i + size] for i in range(len(padded) - size + 1)) if size else (word,):
+                    cell.append(index.setdefault(gram, len(index)) * len(at) + at[lang])
+                    times.append(n)
+            grid = np.bincount(np.frombuffer(cell, np.int64), np.frombuffer(times, np.int64), len(index) * len(at)) if cell else np.zeros(0)
+            grid = grid.reshape(len(index), len(at))
+            total = np.maximum(grid.sum(axis=0), 1)
+            self.rows.append(np.where(grid > 0, np.log10(total) - np.log10(np.maximum(grid, 1)), PENALTY))
+            self.index.append(index)
         self.longest, self.memo = longest, {}
 
     def backoff(self, word: str) -> np.ndarray | None:
@@ -111,21 +116,17 @@ class Model:
         return self.langs[best], float(1 / np.sum(10.0 ** (mean[best] - mean)))
 
 
-def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, words_per_lang: int = WORDS_PER_LANG) -> Model:
-    """A model from the bounded sample. At most ``words_per_lang`` words of each language are kept.
-
-    So what comes to the driver, and is broadcast, has a fixed bound: languages x words.
-    """
-    counts = word_counts(sample_labelled(docs, per_lang))
-    first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counts.withColumn("k", F.row_number().over(first)).where(F.col("k") <= words_per_lang)
-    return Model(sorted((r.lang, r.word, r.n) for r in top.select("lang", "word", "n").toLocalIterator()))
+def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
+    """A model from every word of the sample; ``per_lang`` bounds the documents it is learnt from, and so what is broadcast."""
+    with Tables() as tables:
+        return Model(sorted((r.lang, r.word, r.n) for r in word_counts(sample_labelled(docs, tables, per_lang)).toLocalIterator()))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score for whole texts; only the text decides.
 
-    No letters or null text: ``und`` with score 0; a table without labelled rows: all ``und``.
+    No letters or null text: ``und`` with score 0; a model without languages: all ``und``. A null doc_id isn't
+    held out; repeated rows are one row each; an empty table gives none; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -140,24 +141,32 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def language_digest(docs: DataFrame) -> DataFrame:
+    """``identify`` by a model of the same table; nulls, repeats and empty tables as there, tables without labels give ``und``."""
     return identify(docs, train(docs))
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
-    """The documents in some language: neither ``und`` nor scored below ``least``; same columns.
+def accepts(model: Model, text: str | None, label: str | None, least: float = LEAST, sure: float = SURE) -> bool:
+    """Whether a document is in some language, and in the one it is said to be in.
 
-    A model without languages can tell none, so then every document with a letter stays.
+    Rejected are texts that no language explains (``und``), texts for which no language is more likely than all
+    others together (``least``), and labels that a sure prediction of another language contradicts. A label that
+    was never learnt is not contradicted. A model without languages accepts every text with a letter.
     """
+    if not model.langs:
+        return LETTERS.search(text or "") is not None
+    lang, score = model.predict(text)
+    return lang != UNKNOWN and score >= least and not (label != lang and score >= sure and label in model.langs)
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = LEAST, sure: float = SURE) -> DataFrame:
+    """The documents that ``accepts`` takes, as they came; an empty table gives an empty one, repeated rows are judged alike."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    text, label = docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(batch.schema.get_field_index("text"))]
-            if m.langs:
-                stays = [lang != UNKNOWN and score >= least for lang, score in map(m.predict, texts)]
-            else:
-                stays = [LETTERS.search(t or "") is not None for t in texts]
+            stays = [accepts(m, t.as_py(), x.as_py(), least, sure) for t, x in zip(batch.column(text), batch.column(label))]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
