@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .scratch import written
+from .scratch import Tables, written
 
 WORD = r"[^\x20\x09-\x0D]+"
-SALTS = 64
+#: Salts of a source's documents of about one size, and the rows of the whole table for which these are enough.
+SALTS, SALTED = 64, 1 << 26
 
 
 def _bucket(size: Column) -> Column:
@@ -17,9 +18,9 @@ def _bucket(size: Column) -> Column:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """Adds __size, the number of words. The generator keeps Spark from evaluating the count wherever it is used."""
+    """row (all columns of ``docs``, of any name), size (the number of words). The generator keeps Spark from evaluating the count wherever it is used."""
     n = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select("*", F.explode(F.array(n)).alias("__size"))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.explode(F.array(n)).alias("size"))
 
 
 def source_targets(sizes: DataFrame, cap: int = 3, cycle: int = 3) -> DataFrame:
@@ -28,7 +29,8 @@ def source_targets(sizes: DataFrame, cap: int = 3, cycle: int = 3) -> DataFrame:
     Weights 1..cycle repeat over the sources in code point order, null last. The targets share
     the sum of all sizes by weight; one that would exceed ``cap`` times its source stops there and
     the others share the rest. A source is capped exactly if its cap per weight is at most the level
-    reached by pouring what is left over those with a larger cap per weight, hence running sums.
+    reached by pouring what is left over those with a larger cap per weight, hence running sums. These
+    go over one row per source in one task, so sources are meant to be thousands, not each host of a crawl.
     """
     per = sizes.groupBy("skey").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("source").isNull(), F.col("source"))
@@ -52,67 +54,61 @@ def source_targets(sizes: DataFrame, cap: int = 3, cycle: int = 3) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, seed: str = "mix", cap: int = 3) -> DataFrame:
-    """Give each document its number of copies in the mix.
+    """Give each document its number of copies in the mix: row (its columns), size, source_size, target, copies.
 
-    Within a source documents stand in the order (size bucket, doc_id modulo 64, size, doc_id).
+    Within a source documents stand in the order (size bucket, salt of the doc_id, size, doc_id).
     Each expects ``rate = target / source size`` copies; the prefix sum of these, plus one offset per
     source, crosses an integer boundary once per copy. The prefix sum is built in two levels, from
     counts per (source, bucket, salt) and ranks inside those groups, so a source holding a third of
-    all rows is spread over thousands of groups. Expected copies are at most ``cap``, an integer, so
-    no document is taken more often. The order by size makes the sample even over sizes, which keeps
-    the words taken close to the target.
+    all rows is spread over thousands of groups; salts are hashes of ids, and more for larger tables. Expected copies
+    are at most ``cap``, an integer, so no document is taken more often. The order by size makes the sample
+    even over sizes, which keeps the words taken close to the target.
 
-    Rows keep their columns and gain ``__size, __source_size, __target, __copies``. Null or empty
-    text: size 0. Null source: a source of its own, last. Null doc_id: orders as -1. Repeated rows
-    count each. An empty table gives an empty one. Reruns give the same rows.
+    Null or empty text: size 0. Null source: a source of its own, last. Null doc_id: orders as -1. Repeated rows
+    count each. An empty table gives an empty one. Reruns give the same rows. Other columns may have any name.
     """
-    return _mixed(sized(docs), seed, cap)
+    return _mixed(sized(docs), docs.count(), seed, cap)
 
 
-def _mixed(d: DataFrame, seed: str = "mix", cap: int = 3) -> DataFrame:
-    columns = [c for c in d.columns if c != "__size"]
-    d = d.withColumn("__skey", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")))
-    d = d.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
-    d = d.withColumn("__bucket", _bucket(F.col("__size"))).withColumn("__salt", F.pmod("__id", F.lit(SALTS)))
-    slim = d.select(F.col("__skey").alias("skey"), F.col("__bucket").alias("bucket"), F.col("__salt").alias("salt"), F.col("__size").alias("size"), "source")
-    keys = ["__skey", "__bucket", "__salt"]
-    d = d.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy("__size", "__id")))
+def _mixed(d: DataFrame, rows: int, seed: str = "mix", cap: int = 3) -> DataFrame:
+    salts = SALTS * max(1, -(-rows // SALTED))
+    d = d.withColumn("skey", F.coalesce(F.concat(F.lit("s"), F.col("row.source")), F.lit("null")))
+    d = d.withColumn("id", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(-1)))
+    salt = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("long") % salts
+    d = d.withColumn("bucket", _bucket(F.col("size"))).withColumn("salt", salt)
+    slim = d.select("skey", "bucket", "salt", "size", F.col("row.source").alias("source"))
+    keys = ["skey", "bucket", "salt"]
+    d = d.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("size", "id")))
 
-    groups = slim.groupBy("skey", "bucket", "salt").agg(
-        F.count("*").alias("n"), F.sum("size").alias("size"), F.first("source").alias("source")
-    )
+    groups = slim.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.first("source").alias("source"))
     before = Window.partitionBy("skey").orderBy("bucket", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.select("skey", "bucket", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    groups = offsets.join(source_targets(groups.select("skey", "size", "source"), cap), "skey")
-    groups = groups.select(
-        F.col("skey").alias("__skey"), F.col("bucket").alias("__bucket"), F.col("salt").alias("__salt"), "__before",
-        F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("rate").alias("__rate"),
-    )
-    m = d.join(groups, keys)
-    u = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.col("__skey"))), 1, 8), 16, 10).cast("double") / float(2**32)
-    k = (F.col("__before") + F.col("__rank")).cast("double")
-    copies = F.floor(k * F.col("__rate") + u) - F.floor((k - 1) * F.col("__rate") + u)
-    return m.select(
-        *[F.col(f"`{c}`") for c in columns], "__size", "__source_size", "__target",
-        F.least(copies, F.lit(cap)).cast("long").alias("__copies"),
-    )
+    offsets = groups.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    m = d.join(offsets.join(source_targets(groups.select("skey", "size", "source"), cap), "skey"), keys)
+    u = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.col("skey"))), 1, 8), 16, 10).cast("double") / float(2**32)
+    k = (F.col("before") + F.col("rank")).cast("double")
+    copies = F.floor(k * F.col("rate") + u) - F.floor((k - 1) * F.col("rate") + u)
+    return m.select("row", "size", "source_size", "target", F.least(copies, F.lit(cap)).cast("long").alias("copies"))
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken: the words of each document that the mix takes."""
-    slim = written(sized(docs.select("doc_id", "text", "source")).drop("text"))
-    return _mixed(slim).select(
-        "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"), (F.col("__copies") * F.col("__size")).alias("taken"),
-    )
+    """doc_id, size, source_size, target, taken: the words of each document that the mix takes.
+
+    Nulls, repeats, empty tables and clashing columns as in ``mix_sources``; only doc_id, text and source are read.
+    """
+    with Tables() as tables:
+        slim = tables.written(sized(docs.select("doc_id", "text", "source")).select(F.struct("row.doc_id", "row.source").alias("row"), "size"))
+        mixed = _mixed(slim, slim.count())
+        return written(mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")))
 
 
 def emit_mix(docs: DataFrame) -> DataFrame:
-    """The mix itself: every document as many times as it is taken, with the columns it came with."""
-    mixed = mix_sources(docs).where("__copies > 0")
-    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    """The mix itself: every document as many times as it is taken, with the columns it came with.
+
+    Documents without words have no share that could be filled; they are taken like others of their source, at its rate.
+    Nulls, repeats, empty tables and clashing columns as in ``mix_sources``.
+    """
+    mixed = mix_sources(docs).where("copies > 0")
+    return mixed.select(F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))), "row").select("row.*")
 
 
 MIX_SQL = r"""
@@ -121,7 +117,8 @@ WITH d AS (
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 b AS (
   SELECT *, CASE WHEN size < 100 THEN size ELSE length(size::VARCHAR) * 100 + substr(size::VARCHAR, 1, 2)::BIGINT END AS bucket,
-         ((coalesce(doc_id, -1) % 64) + 64) % 64 AS salt FROM d),
+         ('0x' || substr(md5(coalesce(doc_id, -1)::VARCHAR), 1, 8))::BIGINT
+           % (64 * greatest(1, ceil((SELECT count(*) FROM d) / 67108864.0)))::BIGINT AS salt FROM d),
 r AS (SELECT *, row_number() OVER (PARTITION BY skey ORDER BY bucket, salt, size, doc_id) AS k FROM b),
 p AS (SELECT skey, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM d GROUP BY skey),
 w AS (SELECT skey, source_size, 3 * source_size AS cap,

@@ -48,7 +48,10 @@ def mix_stage(rows):
         def bucket(n):
             return n if n < 100 else len(str(n)) * 100 + int(str(n)[:2])
 
-        own = sorted((r for r in rows if r["source"] == s), key=lambda r: (bucket(size[r["doc_id"]]), r["doc_id"] % 64, size[r["doc_id"]], r["doc_id"]))
+        def salt(i):
+            return int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 64
+
+        own = sorted((r for r in rows if r["source"] == s), key=lambda r: (bucket(size[r["doc_id"]]), salt(r["doc_id"]), size[r["doc_id"]], r["doc_id"]))
         rate = goal[s] / per[s] if per[s] else 0.0
         u = int(hashlib.md5(("mix" + ("null" if s is None else "s" + s)).encode()).hexdigest()[:8], 16) / 2**32
         for k, r in enumerate(own, 1):
