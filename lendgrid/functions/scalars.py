@@ -58,6 +58,16 @@ def hash_fraction(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("double") / float(2**32)
 
 
+def quantile(c: Column | str, p: float, approximate: bool = False) -> Column:
+    """Quantile by interpolation between all distinct values of a group, or from a sketch of bounded size."""
+    return F.percentile_approx(c, F.lit(p), F.lit(10_000)) if approximate else F.percentile(c, F.lit(p))
+
+
+def monomial_name(m: Sequence[str]) -> str:
+    """``a_2_x_b`` for the product of a, a and b."""
+    return "_x_".join(v if m.count(v) == 1 else f"{v}_{m.count(v)}" for v in dict.fromkeys(m))
+
+
 def monomials(names: Sequence[str], degree: int) -> list[tuple[str, ...]]:
     """All products of up to ``degree`` names, lower degrees first."""
     from itertools import combinations_with_replacement

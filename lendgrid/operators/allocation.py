@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.shared import written
 from .cutoffs import MONEY, prune_dominated
 
 SEGMENT = "segment_cut_off"
@@ -15,9 +16,10 @@ def allocate_exact(frontiers: DataFrame, target: float, segments: Sequence[str],
     """segment, solution, production, risk: one point a segment, most production with production-weighted risk <= target.
 
     A fold over the segments joins each frontier to the partial sums and prunes dominated ones: exact. ``bounds``
-    (segment, low, high) restrict risks. Without a feasible choice there are no rows.
+    (segment, low, high) restrict risks. Without a feasible choice there are no rows. The states of a step, one per
+    undominated sum, are pruned in one window: meant for frontiers, not for records.
     """
-    frontiers = frontiers.cache()  # a row per frontier point, read once for each segment
+    frontiers = written(frontiers)  # a row per frontier point, read once for each segment
     f = frontiers
     if bounds is not None:
         f = f.join(F.broadcast(bounds), SEGMENT, "left").where("(low IS NULL OR risk >= low) AND (high IS NULL OR risk <= high)")

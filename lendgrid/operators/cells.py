@@ -46,7 +46,7 @@ def acceptance_rates(demand: DataFrame, keys: Sequence[str] = CELL) -> DataFrame
     return c.withColumn("acceptance_rate", F.when(total > 0, F.col("n_booked") / F.when(total > 0, total)).otherwise(1.0))
 
 
-def reject_uplift(cells: DataFrame, rates: DataFrame, method: str = "linear", factor: float = 1.0, cap: float = 3.0, column: str = "todu_30ever_h6_rep", keys: Sequence[str] = CELL) -> DataFrame:
+def reject_uplift(cells: DataFrame, rates: DataFrame, method: str = "linear", factor: float = 1.5, cap: float = 3.0, column: str = "todu_30ever_h6_rep", keys: Sequence[str] = CELL) -> DataFrame:
     """Scale modelled arrears of rejects by how selective the cell was; unknown cells count as accepting all."""
     j = cells.join(rates.select(*keys, "acceptance_rate"), list(keys), "left").withColumn("acceptance_rate", F.coalesce("acceptance_rate", F.lit(1.0)))
     a = F.col("acceptance_rate")
@@ -73,7 +73,7 @@ def rejected_cells(demand: DataFrame, coefficient: float = 1.0, keys: Sequence[s
 
 def cell_summary(
     demand: DataFrame, risk: Column, exposure: tuple[float, float], stress: float = 1.0, financing_rate: float = 1.0,
-    coefficient: float = 1.0, method: str = "linear", factor: float = 1.0, cap: float = 3.0, keys: Sequence[str] = CELL,
+    coefficient: float = 1.0, method: str = "linear", factor: float = 1.5, cap: float = 3.0, keys: Sequence[str] = CELL,
 ) -> DataFrame:
     """One row per cell: indicators of booked (``_boo``), of swap-in candidates (``_rep``) and both."""
     boo = booked_cells(demand.where("status_name = 'booked'"), coefficient, keys)

@@ -38,12 +38,19 @@ def consolidate(metrics: DataFrame, keys: Sequence[str] = KEYS, multiplier: floa
 
 
 def combine_ci(metrics: DataFrame, keys: Sequence[str] = KEYS, z: float = 1.96) -> DataFrame:
-    """Intervals of independent sums: middles add, standard errors in quadrature. Risk intervals stay with segments."""
+    """Intervals of independent sums: middles add, standard errors in quadrature. For risks see ``combine_risk_ci``."""
     se = (F.col("high") - F.col("low")) / (2 * z)
     g = _grouped(metrics, [F.sum((F.col("low") + F.col("high")) / 2).alias("mid"), F.sqrt(F.sum(se * se)).alias("se")], keys)
     return g.withColumn("low", F.col("mid") - F.lit(z) * F.col("se")).withColumn("high", F.col("mid") + F.lit(z) * F.col("se"))
 
 
+def combine_risk_ci(metrics: DataFrame, keys: Sequence[str] = KEYS, z: float = 1.96) -> DataFrame:
+    """The same of risk intervals (risk_low, risk_high); where no part is uncertain both bounds are 0."""
+    c = combine_ci(metrics.withColumns({"low": F.col("risk_low"), "high": F.col("risk_high")}), keys, z)
+    bound = lambda b: F.when(F.col("se") > 0, F.col(b)).otherwise(F.lit(0.0))
+    return c.withColumns({"risk_ci_lower": bound("low"), "risk_ci_upper": bound("high")}).drop("mid", "se", "low", "high")
+
+
 def with_deltas(consolidated: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per level and name: actual and optimum side by side with their differences."""
     pick = lambda m, c: F.max(F.when(F.col("metric") == m, F.col(c)))

@@ -12,7 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import risk_ratio
+from ..sources.shared import written
 
+#: Levels of all keys together up to which the frontier fold stays in one partition.
+FEW = 20_000
 V0, V1 = "score_rf_bin", "risk_score_rf_bin"
 MEASURES = ("oa_amt_h0", "todu_30ever_h6", "todu_amt_pile_h6")
 MONEY = "decimal(20,4)"
@@ -95,17 +98,21 @@ def frontier_by_target(levels: DataFrame, targets: DataFrame, order: Sequence[in
     ``targets`` has ``target`` and, if wanted, ``keys``; ``allowed`` (v0, low, high) pins levels. Slack is multiplier *
     arrears - target * exposure and must end at 0 or less; ties: less slack, then path.
     """
-    # A few numbers per cell, read once for each bin: kept, so that the records behind them are read once.
-    lv = levels.select(*keys, v0, "level", F.col("oa_amt_h0").alias("p"), "todu_30ever_h6", "todu_amt_pile_h6").cache()
+    # A few numbers per cell, read once for each bin: written, so that the records behind them are read once.
+    lv = written(levels.select(*keys, v0, "level", F.col("oa_amt_h0").alias("p"), "todu_30ever_h6", "todu_amt_pile_h6"))
+    few = lv.limit(FEW + 1).count() <= FEW
     if allowed is not None:
         lv = lv.join(F.broadcast(allowed), v0, "left").where("(low IS NULL OR level >= low) AND (high IS NULL OR level <= high)").drop("low", "high")
     if keys and "target" in targets.columns and not set(keys) <= set(targets.columns):
-        targets = levels.select(*keys).distinct().crossJoin(F.broadcast(targets))
+        targets = lv.select(*keys).distinct().crossJoin(F.broadcast(targets))
     top = 10**6
     state = targets.select(*keys, "target", F.lit(top).alias("last"), F.lit("").alias("path"), F.lit(0).cast(MONEY).alias("production"), F.lit(0).cast(MONEY).alias("slack"))
     for b in order:
         step = lv.where(F.col(v0) == b).drop(v0)
-        j = state.join(F.broadcast(step), list(keys)) if keys else state.crossJoin(F.broadcast(step))
+        step = F.broadcast(step) if few else step
+        # With few levels all states fit in one partition, where the windows below need no exchange.
+        state = state.coalesce(1) if few else state
+        j = state.join(step, list(keys)) if keys else state.crossJoin(step)
         state = j.where("level <= last").select(
             *keys, "target", F.col("level").alias("last"), F.concat_ws("-", F.when(F.col("path") != "", F.col("path")), F.col("level")).alias("path"),
             (F.col("production") + F.col("p")).cast(MONEY).alias("production"), (F.col("slack") + _slack(F.col("target"), multiplier)).cast(MONEY).alias("slack"),
@@ -134,6 +141,15 @@ def mask_to_cutoffs(mask: DataFrame, v0: str = V0, v1: str = V1, inverted: bool
     return mask.groupBy(*keys, v0).agg(cut.alias("cut"))
 
 
+def mask_projections(mask: DataFrame, dims: Sequence[str], keys: Sequence[str] = ("solution",)) -> DataFrame:
+    """keys, dimension, bin, accepted: for grids of any number of dimensions, whether a bin has an accepted cell.
+
+    All dimensions are aggregated in one pass.
+    """
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("double").alias("bin")) for d in dims])
+    return mask.select(*keys, "accept", F.inline(pairs)).groupBy(*keys, "dimension", "bin").agg(F.max("accept").cast("double").alias("accepted"))
+
+
 def monotonicity_violations(mask: DataFrame, dims: dict[str, bool], keys: Sequence[str] = ("solution",)) -> DataFrame:
     """Neighbours of which the riskier is accepted and the safer isn't, in any dimension (name -> low is safe)."""
     out = None
@@ -241,14 +257,15 @@ def sample_solutions(solutions: DataFrame, n: int, seed: str = "sample") -> Data
     return solutions.withColumn("__h", F.md5(F.concat(F.lit(seed), "solution"))).orderBy("__h").limit(n).drop("__h")
 
 
-def infer_direction(cells: DataFrame, var: str, permutations: int = 200, seed: str = "direction", alpha: float = 0.10) -> DataFrame:
-    """covariance, p_value, direction of a binned variable: exposure-weighted covariance of ranks.
+def infer_direction(cells: DataFrame, var: str, permutations: int = 1000, seed: str = "direction", alpha: float = 0.10) -> DataFrame:
+    """covariance, p_value, direction of a binned variable: covariance of the ranks of bins and of their risks, weighted by ``oa_amt``.
 
+    Risks are rounded to two decimals before they are ranked, as everywhere.
     Permutations order the bins by a hash of replicate and bin, so that they rerun alike. Under two bins, a zero
     covariance or a p above ``alpha``: 1.
     """
-    b = cells.groupBy(F.col(var).alias("x")).agg(F.sum(money("todu_30ever_h6")).cast("double").alias("a"), F.sum(money("todu_amt_pile_h6")).cast("double").alias("t"), F.sum(money("oa_amt_h0")).cast("double").alias("w"))
-    b = b.withColumn("y", F.col("a") / F.when(F.col("t") != 0, F.col("t"))).where("y IS NOT NULL")
+    b = cells.groupBy(F.col(var).alias("x")).agg(F.sum(money("todu_30ever_h6")).cast("double").alias("a"), F.sum(money("todu_amt_pile_h6")).cast("double").alias("t"), F.sum(money("oa_amt")).cast("double").alias("w"))
+    b = b.withColumn("y", risk_ratio(F.col("a"), F.col("t"))).where("y IS NOT NULL")
     mid = lambda c: F.rank().over(Window.orderBy(c)) + (F.count("*").over(Window.partitionBy(c)) - 1) / 2
     r = b.select("x", "w", mid("x").alias("rx"), mid("y").alias("ry"))
     reps = cells.sparkSession.range(permutations + 1).select(F.col("id").alias("b"))

@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.scalars import money_sum, risk_ratio
+from ..functions.scalars import money_sum, quantile, risk_ratio
 
 
-def stress_factor(booked: DataFrame, score: str = "score_rf", fraction: float = 0.05, low_is_bad: bool = True, keys: Sequence[str] = ()) -> DataFrame:
-    """Risk of the worst ``fraction`` by score over the risk of all."""
+def stress_factor(booked: DataFrame, score: str = "score_rf", fraction: float = 0.05, low_is_bad: bool = True, keys: Sequence[str] = (), approximate: bool = False) -> DataFrame:
+    """Risk of the worst ``fraction`` by score over the risk of all; ``approximate`` takes the limit from a sketch."""
     on = ["__all", *keys]
     b = booked.withColumn("__all", F.lit(1))
-    cut = b.groupBy(*on).agg(F.percentile(score, F.lit(fraction if low_is_bad else 1 - fraction)).alias("__cut"))
+    cut = b.groupBy(*on).agg(quantile(score, fraction if low_is_bad else 1 - fraction, approximate).alias("__cut"))
     b = b.join(F.broadcast(cut), on)
     tail = F.col(score) <= F.col("__cut") if low_is_bad else F.col(score) >= F.col("__cut")
     part = lambda c: money_sum(F.when(tail, F.col(c)).otherwise(0.0))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import bin_right_closed
+from ..functions.scalars import bin_right_closed, monomial_name, monomials
 
 SCORE_BINS = {"score_rf": (350.0, 400.0, 450.0), "risk_score_rf": (20.0, 50.0, 80.0)}
 MAIN, RECENT = ("1998-07-01", "1999-06-01"), ("1999-07-01", "1999-12-01")
@@ -74,8 +75,8 @@ def bin_scores(df: DataFrame, bins: Mapping[str, Sequence[float]] = SCORE_BINS,
 
 
 def outside_share(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    """Share of rows that are null or outside (low, high]: the quota that binning with finite edges checks."""
-    bad = F.col(column).isNull() | (F.col(column) <= low) | (F.col(column) > high)
+    """Share of rows that are null or outside [low, high]: the quota that binning with finite edges checks. The first bin holds its lower edge."""
+    bad = F.col(column).isNull() | (F.col(column) < low) | (F.col(column) > high)
     return df.agg(F.lit(column).alias("column"), F.avg(F.when(bad, 1.0).otherwise(0.0)).alias("outside"))
 
 
@@ -117,6 +118,12 @@ def poly_features(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.withColumns({f"{a}_x_{b}": x * y, f"{a}_2": x * x, f"{b}_2": y * y, f"{a}_2_x_{b}": x * x * y, f"{a}_x_{b}_2": x * y * y, f"{a}_3": x * x * x, f"{b}_3": y * y * y})
 
 
+def monomial_features(df: DataFrame, variables: Sequence[str], degree: int = 3) -> DataFrame:
+    """All products of up to ``degree`` of any number of variables, as ``a_2_x_b``; the variables themselves stay as they are."""
+    product = lambda m: reduce(lambda x, y: x * y, [F.col(v).cast("double") for v in m])
+    return df.withColumns({monomial_name(m): product(m) for m in monomials(list(variables), degree) if len(m) > 1})
+
+
 def cell_label(production: Column, risk: Column) -> Column:
     """Production in millions and risk in percent, as in ``1.23M 4.56%``."""
     return F.format_string("%.2fM %.2f%%", F.bround(production / 1e6, 2), F.bround(risk, 2))

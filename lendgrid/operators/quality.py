@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions.scalars import quantile
+
 ID_COLUMNS = ("authorization_id", "reject_reason")
 
 
@@ -51,16 +53,17 @@ def long_numbers(df: DataFrame, columns: Sequence[str], *keys: str) -> DataFrame
     return df.select(*keys, F.inline(pairs)).where("x IS NOT NULL")
 
 
-def check_outliers(df: DataFrame, columns: Sequence[str], limit: float = 5.0, warn: float = 0.01) -> DataFrame:
+def check_outliers(df: DataFrame, columns: Sequence[str], limit: float = 5.0, warn: float = 0.01, approximate: bool = False) -> DataFrame:
     """variable, n, n_outliers, share, status by the modified z score.
 
     The scale is the median absolute deviation, the mean one where that is 0; where both are 0 the
-    variable is skipped. All variables go through the same two exact medians, as one long table.
+    variable is skipped. All variables go through the same two medians, as one long table. Exact medians gather a variable's
+    distinct values in one task; ``approximate`` takes sketches, which are bounded.
     """
     x = long_numbers(df, columns)
-    mid = x.groupBy("variable").agg(F.percentile("x", F.lit(0.5)).alias("mid"))
+    mid = x.groupBy("variable").agg(quantile("x", 0.5, approximate).alias("mid"))
     dev = x.join(F.broadcast(mid), "variable").select("variable", F.abs(F.col("x") - F.col("mid")).alias("dev"))
-    scale = dev.groupBy("variable").agg(F.percentile("dev", F.lit(0.5)).alias("mad"), F.avg("dev").alias("mean"))
+    scale = dev.groupBy("variable").agg(quantile("dev", 0.5, approximate).alias("mad"), F.avg("dev").alias("mean"))
     scale = scale.select("variable", F.when(F.col("mad") > 0, F.col("mad")).otherwise(F.col("mean")).alias("scale")).where("scale > 0")
     z = F.lit(0.6745) * F.col("dev") / F.col("scale")
     out = dev.join(F.broadcast(scale), "variable").groupBy("variable").agg(
@@ -89,7 +92,7 @@ def check_duplicates(df: DataFrame, keys: Sequence[str] | None = None, warn: flo
     return d.withColumn("status", F.when(F.col("share") > warn, "warn").otherwise("pass"))
 
 
-def dq_report(df: DataFrame, indicators: Sequence[str], period: tuple[str, str], required: Sequence[str], exempt: Sequence[str] = ID_COLUMNS, date: str = "mis_date") -> DataFrame:
+def dq_report(df: DataFrame, indicators: Sequence[str], period: tuple[str, str], required: Sequence[str], exempt: Sequence[str] = ID_COLUMNS, date: str = "mis_date", approximate: bool = False) -> DataFrame:
     """name, status: one row for each of the nine checks.
 
     Whatever is a plain aggregate comes from one pass; segment sizes, duplicates and outliers have groupings of their own.
@@ -112,7 +115,7 @@ def dq_report(df: DataFrame, indicators: Sequence[str], period: tuple[str, str],
         row("negative", F.when(F.col("negative") > 0, "warn").otherwise("pass")), row("booked_ratio", F.when(F.col("booked") < 0.01, "fail").when(F.col("booked") < 0.05, "warn").otherwise("pass")),
     )))
     named = lambda d, name: d.agg(word(worst(F.col("status"))).alias("status")).select(F.lit(name).alias("name"), "status")
-    return plain.union(named(check_segment_size(df), "segment_size")).union(named(check_outliers(df, indicators), "outliers")).union(named(check_duplicates(df, ["authorization_id"]), "duplicates"))
+    return plain.union(named(check_segment_size(df), "segment_size")).union(named(check_outliers(df, indicators, approximate=approximate), "outliers")).union(named(check_duplicates(df, ["authorization_id"]), "duplicates"))
 
 
 def validate_or_fail(report: DataFrame) -> DataFrame:
@@ -122,10 +125,15 @@ def validate_or_fail(report: DataFrame) -> DataFrame:
     return report
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """column, type, n_distinct, n_null, null_share for every column."""
+def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """column, type, n_distinct, n_null, null_share for every column.
+
+    Exact distinct counts of all columns at once expand every row by their number; ``approximate`` takes
+    sketches instead, which need one pass and no exchange of values.
+    """
     cols = df.columns
-    one = df.agg(F.count("*").alias("n"), *[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)], *[F.count(F.col(c)).alias(f"k{i}") for i, c in enumerate(cols)])
+    distinct = (lambda c: F.approx_count_distinct(c, 0.01)) if approximate else F.count_distinct
+    one = df.agg(F.count("*").alias("n"), *[distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)], *[F.count(F.col(c)).alias(f"k{i}") for i, c in enumerate(cols)])
     rows = [
         F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f"d{i}").alias("n_distinct"), (F.col("n") - F.col(f"k{i}")).alias("n_null"), ((F.col("n") - F.col(f"k{i}")) / F.when(F.col("n") > 0, F.col("n"))).alias("null_share"))
         for i, f in enumerate(df.schema.fields)

@@ -4,22 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.scalars import money_sum, risk_ratio
+from ..functions.scalars import bin_right_closed, hash_fraction, money_sum, risk_ratio
+from ..sources.shared import written
 from .cells import CELL
 from .population import poly_features
 
+_X, _Y = CELL
+_BASE = [_Y, _X, f"{_X}_x_{_Y}"]
+_SQUARED, _CUBIC, _MIXED = [f"{_Y}_2", f"{_X}_2"], [f"{_Y}_3", f"{_X}_3"], [f"{_X}_2_x_{_Y}", f"{_X}_x_{_Y}_2"]
+#: Fixed names of the feature sets that are compared.
 FEATURE_SETS: Mapping[str, Sequence[str]] = {
-    "first": list(CELL), "second": [*CELL, "score_rf_bin_x_risk_score_rf_bin"],
-    "quadratic": [*CELL, "score_rf_bin_x_risk_score_rf_bin", "score_rf_bin_2", "risk_score_rf_bin_2"],
-    "cubic": [*CELL, "score_rf_bin_x_risk_score_rf_bin", "score_rf_bin_2", "risk_score_rf_bin_2", "score_rf_bin_3", "risk_score_rf_bin_3"],
+    "original": [_X, _Y], "simple": [_Y, _X], "base": _BASE, "base + squared": [*_BASE, *_SQUARED], "base + cubic": [*_BASE, *_CUBIC],
+    "base + all_poly": [*_BASE, *_SQUARED, *_CUBIC], "base + interactions": [*_BASE, *_MIXED], "full": [*_BASE, *_SQUARED, *_CUBIC, *_MIXED],
 }
+#: The grid that ``hyperparameter_search`` goes over: family, strengths, shares of the L1 penalty.
+GRID: Sequence[tuple[str, Sequence[float], Sequence[float]]] = (
+    ("linear", (0.0,), (0.0,)), ("ridge", (0.01, 0.1, 1.0, 10.0), (0.0,)), ("lasso", (0.001, 0.01, 0.1, 1.0), (1.0,)),
+    ("elastic_net", (0.001, 0.01, 0.1, 1.0), (0.1, 0.5, 0.9)), ("tweedie", (0.0, 0.01, 0.1, 1.0), (0.0,)),
+)
 
 
 def exposure_model(cells: DataFrame, x: str = "oa_amt_h0", y: str = "todu_amt_pile_h6", limit: float = 3.0) -> DataFrame:
@@ -91,49 +101,125 @@ def fold_cells(records: DataFrame, k: int = 5, seed: int = 17, keys: Sequence[st
 
     One aggregation serves all folds, feature sets and models.
     """
-    fold = F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(k)).cast("int")
+    fold = F.floor(hash_fraction(F.lit(seed), F.col(ident)) * k).cast("int")
     f = records.groupBy(fold.alias("fold"), *keys).agg(money_sum("todu_30ever_h6").alias("va"), money_sum("todu_amt_pile_h6").alias("vt"))
-    cells = f.groupBy(*keys).agg(F.sum("va").alias("a"), F.sum("vt").alias("t"))
+    cells = f.groupBy(*keys).agg(money_sum("va").alias("a"), money_sum("vt").alias("t"))
     folds = records.sparkSession.range(k).select(F.col("id").cast("int").alias("fold"))
     g = cells.crossJoin(F.broadcast(folds)).join(f, ["fold", *keys], "left").na.fill(0.0, ["va", "vt"])
     ratio = lambda a, b: risk_ratio(a, b, decimals=None)
     return g.select("fold", *keys, "vt", ratio(F.col("va"), F.col("vt")).alias("validation"), (F.col("t") - F.col("vt")).alias("todu_amt_pile_h6"), ratio(F.col("a") - F.col("va"), F.col("t") - F.col("vt")).alias("target"))
 
 
-def cross_validate(folds: DataFrame, k: int, features: Sequence[str], fit, least_cells: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(fold, rmse) and the predictions per fold. ``fit``: training cells, features -> model. The loop is over folds, on cells."""
-    folds = poly_features(folds, *CELL).cache()
-    scores = preds = None
-    for i in range(k):
-        train = folds.where(F.col("fold") == i).where("target IS NOT NULL AND todu_amt_pile_h6 > 0")
-        if train.count() < least_cells:
-            continue
-        p = fit(train, features).transform(folds.where(F.col("fold") == i)).select("fold", *CELL, "vt", "validation", "prediction")
-        e = F.col("prediction") - F.col("validation")
-        s = p.where("validation IS NOT NULL").groupBy("fold").agg(F.sqrt(F.sum(F.col("vt") * e * e) / F.sum("vt")).alias("rmse"))
-        scores, preds = (s, p) if scores is None else (scores.union(s), preds.union(p))
-    return scores, preds
-
-
-def hyperparameter_search(folds: DataFrame, k: int, features: Sequence[str], strengths: Sequence[float], kinds: Sequence[str] = ("ridge", "lasso")) -> DataFrame:
-    """name, complexity, mean, se of the weighted RMSE over folds on a fixed grid."""
-    out = None
-    for kind in kinds:
-        for i, s in enumerate(sorted(strengths, reverse=True)):
-            scores, _ = cross_validate(folds, k, features, lambda c, f, kind=kind, s=s: linear_risk_model(c, f, kind, s))
-            row = scores.agg(F.avg("rmse").alias("mean"), (F.stddev_samp("rmse") / F.sqrt(F.count("*"))).alias("se")).select(F.lit(f"{kind} {s:g}").alias("name"), F.lit(i).alias("complexity"), "mean", "se")
-            out = row if out is None else out.union(row)
-    return out
-
-
-def feature_set_cv(folds: DataFrame, k: int, sets: Mapping[str, Sequence[str]] = FEATURE_SETS) -> DataFrame:
-    """name, complexity (number of features), mean, se for each named feature set."""
-    out = None
-    for name, features in sets.items():
-        scores, _ = cross_validate(folds, k, features, lambda c, f: linear_risk_model(c, f))
-        row = scores.agg(F.avg("rmse").alias("mean"), (F.stddev_samp("rmse") / F.sqrt(F.count("*"))).alias("se")).select(F.lit(name).alias("name"), F.lit(len(features)).alias("complexity"), "mean", "se")
-        out = row if out is None else out.union(row)
-    return out
+def fit_cells(kind: str, x: np.ndarray, y: np.ndarray, w: np.ndarray, strength: float = 0.0, l1: float = 0.0, power: float = 1.5) -> tuple[float, np.ndarray]:
+    """Intercept and coefficients of one weighted model of a grid's cells; the intercept is never penalised.
+
+    Ridge adds strength * |b|^2 to the weighted squares; lasso and elastic net penalise half their weighted mean; tweedie
+    has a log link and a variance that grows with ``power``.
+    """
+    if kind == "tweedie":
+        b = np.append(np.log(max(np.average(y, weights=w), 1e-12)), np.zeros(x.shape[1]))
+        full, penalty = np.column_stack([np.ones(len(x)), x]), np.diag([1e-9, *[strength * w.sum() + 1e-9] * x.shape[1]])
+        for _ in range(100):
+            eta = np.clip(full @ b, -30, 30)
+            mu = np.exp(eta)
+            v = w * mu ** (2 - power)
+            new = np.linalg.solve(full.T @ (v[:, None] * full) + penalty, full.T @ (v * (eta + (y - mu) / mu)))
+            if np.abs(new - b).max() < 1e-10:
+                break
+            b = new
+        return float(b[0]), b[1:]
+    mx, my = np.average(x, axis=0, weights=w), float(np.average(y, weights=w))
+    c, r = x - mx, y - my
+    if kind in ("linear", "ridge"):
+        gram = c.T @ (w[:, None] * c)
+        b = np.linalg.lstsq(gram + strength * np.eye(len(gram)), c.T @ (w * r), rcond=1e-12)[0]
+    else:
+        v, b = w / w.sum(), np.zeros(x.shape[1])
+        square, left = (v[:, None] * c * c).sum(axis=0), r.copy()
+        for _ in range(20_000):
+            most = 0.0
+            for j in np.flatnonzero(square > 0):
+                rho = (v * c[:, j] * left).sum() + square[j] * b[j]
+                new = np.sign(rho) * max(abs(rho) - strength * l1, 0.0) / (square[j] + strength * (1 - l1))
+                left += c[:, j] * (b[j] - new)
+                most, b[j] = max(most, abs(new - b[j])), new
+            if most < 1e-10:
+                break
+    return my - float(mx @ b), b
+
+
+def grid_cv(folds: DataFrame, models: Sequence[tuple], least_cells: int = 3) -> DataFrame:
+    """name, fold, cell, vt, validation, prediction of every model in every fold, in one grouped job.
+
+    ``models``: (name, kind, features, strength, l1). A group is one model and fold with the cells of the grid;
+    cells without a training target count for prediction only; folds with under ``least_cells`` training cells have no rows.
+    """
+    import pandas as pd
+
+    every = list(dict.fromkeys(f for m in models for f in m[2]))
+    spec = {m[0]: (m[1], [every.index(f) for f in m[2]], float(m[3]), float(m[4])) for m in models}
+    named = folds.sparkSession.createDataFrame([(m[0],) for m in models], "name string")
+    f = poly_features(folds, *CELL).crossJoin(F.broadcast(named))
+    f = f.select("name", "fold", *CELL, "vt", "validation", "target", F.col("todu_amt_pile_h6").alias("w"), F.array(*[F.col(c).cast("double") for c in every]).alias("x"))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        kind, own, strength, l1 = spec[pdf["name"].iloc[0]]
+        pdf = pdf.sort_values(list(CELL), kind="stable")
+        x, y, w = np.stack(pdf["x"].to_numpy())[:, own], pdf["target"].to_numpy(float), pdf["w"].to_numpy(float)
+        train = np.isfinite(y) & (w > 0)
+        out = pdf[["name", "fold", *CELL, "vt", "validation"]]
+        if train.sum() < least_cells:
+            return out.iloc[:0].assign(prediction=pd.Series(dtype=float))
+        a, b = fit_cells(kind, x[train], y[train], w[train], strength, l1)
+        return out.assign(prediction=np.exp(np.clip(a + x @ b, -30, 30)) if kind == "tweedie" else a + x @ b)
+
+    cells = ", ".join(f"{c} int" for c in CELL)
+    return f.groupBy("name", "fold").applyInPandas(fit, f"name string, fold int, {cells}, vt double, validation double, prediction double")
+
+
+def fold_scores(predictions: DataFrame) -> DataFrame:
+    """name, fold, rmse: the error of each fold's validation cells, weighted by their exposure."""
+    e = F.col("prediction") - F.col("validation")
+    return predictions.where("validation IS NOT NULL").groupBy("name", "fold").agg(F.sqrt(F.sum(F.col("vt") * e * e) / F.sum("vt")).alias("rmse"))
+
+
+def cv_results(scores: DataFrame) -> DataFrame:
+    """name, mean, se over folds."""
+    return scores.groupBy("name").agg(F.avg("rmse").alias("mean"), (F.stddev_samp("rmse") / F.sqrt(F.count("*"))).alias("se"))
+
+
+def grid_models(features: Sequence[str], grid: Sequence[tuple[str, Sequence[float], Sequence[float]]] = GRID) -> list[tuple]:
+    """(name, kind, features, strength, l1) for every point of the grid."""
+    return [(f"{kind} {s:g}" + (f" {x:g}" if kind == "elastic_net" else ""), kind, list(features), s, x) for kind, strengths, shares in grid for s in strengths for x in shares]
+
+
+def hyperparameter_search(records: DataFrame, k: int, features: Sequence[str], grid: Sequence[tuple[str, Sequence[float], Sequence[float]]] = GRID, seed: int = 17, fresh_seed: int = 18) -> DataFrame:
+    """family, name, mean, se, fresh_mean, fresh_se: the best point of each family, scored again on folds dealt by another seed.
+
+    The choice is made on the first folds, so the fresh scores aren't favoured by it.
+    """
+    models = grid_models(features, grid)
+    kinds = records.sparkSession.createDataFrame([(m[0], m[1]) for m in models], "name string, family string")
+    of = lambda s: cv_results(fold_scores(grid_cv(fold_cells(records, k, s), models)))
+    first = of(seed).join(F.broadcast(kinds), "name")
+    best = first.withColumn("k", F.row_number().over(Window.partitionBy("family").orderBy("mean", "name"))).where("k = 1")
+    fresh = of(fresh_seed).select("name", F.col("mean").alias("fresh_mean"), F.col("se").alias("fresh_se"))
+    return best.join(fresh, "name").select("family", "name", "mean", "se", "fresh_mean", "fresh_se")
+
+
+def feature_set_cv(folds: DataFrame, sets: Mapping[str, Sequence[str]] = FEATURE_SETS) -> DataFrame:
+    """name, complexity (number of features), mean, se of a linear model for each named feature set."""
+    models = [(name, "linear", list(features), 0.0, 0.0) for name, features in sets.items()]
+    size = folds.sparkSession.createDataFrame([(name, len(features)) for name, features in sets.items()], "name string, complexity int")
+    return cv_results(fold_scores(grid_cv(folds, models))).join(F.broadcast(size), "name").select("name", "complexity", "mean", "se")
+
+
+def weighted_r2(predictions: DataFrame, keys: Sequence[str] = (), target: str = "target", weight: str = "todu_amt_pile_h6") -> DataFrame:
+    """keys, r2: one less the weighted squared error over the weighted squares around the weighted mean; null under two cells."""
+    w, y, e = F.col(weight), F.col(target), F.col(target) - F.col("prediction")
+    g = predictions.groupBy(*keys).agg(F.sum(w).alias("sw"), F.sum(w * y).alias("swy"), F.sum(w * y * y).alias("swyy"), F.sum(w * e * e).alias("see"), F.count("*").alias("n"))
+    around = F.col("swyy") - F.col("swy") * F.col("swy") / F.col("sw")
+    return g.select(*keys, F.when((F.col("n") >= 2) & (around > 0), 1 - F.col("see") / around).alias("r2"))
 
 
 def one_se_select(results: DataFrame) -> DataFrame:
@@ -158,13 +244,26 @@ def linear_attribution(cells: DataFrame, coefficients: Mapping[str, float]) -> D
 
 
 def supervised_bins(df: DataFrame, x: str, y: str, leaves: int = 5, least_leaf: int = 500) -> list[float]:
-    """Inner edges of bins of x that a tree finds for y."""
-    depth = max(1, (leaves - 1).bit_length())
-    tree = DecisionTreeClassifier(labelCol=y, featuresCol="features", maxDepth=depth, minInstancesPerNode=least_leaf, maxBins=64, seed=7)
-    model = Pipeline(stages=[VectorAssembler(inputCols=[x], outputCol="features"), tree]).fit(df.select(x, F.col(y).cast("double").alias(y)).na.drop()).stages[-1]
-    import re
+    """Inner edges of at most ``leaves`` bins of x, split where the Gini impurity of the 0/1 column y falls most.
 
-    return sorted({float(m) for m in re.findall(r"<= (-?[\d.E+-]+)\)", model.toDebugString)})
+    Each step splits, of all bins, the one that gains most, at the middle between two values, with ``least_leaf`` rows
+    or more on both sides; ties go to the lower edge. Rows are first counted per distinct value, so that a step is one pass
+    over these counts; a bin's counts are cumulated in one window, so x is meant to be a score, not an id.
+    """
+    counts = written(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).cast("double").alias("x")).agg(F.count("*").alias("n"), F.sum(F.col(y).cast("long")).alias("bad")))
+    edges: list[float] = []
+    for _ in range(leaves - 1):
+        c = counts.withColumn("leaf", bin_right_closed(F.col("x"), edges))
+        up, whole = Window.partitionBy("leaf").orderBy("x"), Window.partitionBy("leaf")
+        c = c.select("x", F.lead("x").over(up).alias("next"), *[F.sum(v).over(up).alias(f"{v}_l") for v in ("n", "bad")], *[F.sum(v).over(whole).alias(f"{v}_t") for v in ("n", "bad")])
+        c = c.withColumns({"n_r": F.col("n_t") - F.col("n_l"), "bad_r": F.col("bad_t") - F.col("bad_l")}).where(f"next IS NOT NULL AND n_l >= {int(least_leaf)} AND n_r >= {int(least_leaf)}")
+        rest = lambda s: F.col(f"bad_{s}") - F.col(f"bad_{s}").cast("double") * F.col(f"bad_{s}") / F.col(f"n_{s}")
+        edge = ((F.col("x") + F.col("next")) / 2).alias("edge")
+        best = c.select(edge, F.round(rest("t") - rest("l") - rest("r"), 9).alias("gain")).where("gain > 0").orderBy(F.desc("gain"), "edge").first()
+        if best is None:
+            break
+        edges = sorted([*edges, best.edge])
+    return edges
 
 
 def combined_score(df: DataFrame, columns: Sequence[str], y: str) -> DataFrame:
@@ -172,9 +271,9 @@ def combined_score(df: DataFrame, columns: Sequence[str], y: str) -> DataFrame:
     n = df.count()
     stages = [
         VectorAssembler(inputCols=list(columns), outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="__std", withMean=True, withStd=True),
-        LogisticRegression(featuresCol="__std", labelCol=y, regParam=1.0 / max(n, 1), standardization=False, rawPredictionCol="__margin", probabilityCol="__p", predictionCol="__c"),
+        LogisticRegression(featuresCol="__std", labelCol=y, regParam=1.0 / max(n, 1), standardization=False, tol=1e-10, maxIter=200, rawPredictionCol="__margin", probabilityCol="__p", predictionCol="__c"),
     ]
-    out = Pipeline(stages=stages).fit(df).transform(df)
+    out = Pipeline(stages=stages).fit(df).transform(df)  # the penalty is strength 1 on the sum of losses
     return out.withColumn("combined", vector_to_array("__margin")[1]).drop("__raw", "__std", "__margin", "__p", "__c")
 
 

@@ -55,7 +55,7 @@ def psi(baseline: DataFrame, comparison: DataFrame, columns: Sequence[str], bins
     return psi_bins(baseline, comparison, columns, bins, approximate).groupBy("variable").agg(F.sum("component").alias("psi"))
 
 
-def psi_by_period(df: DataFrame, column: str, reference: tuple[str, str], actual: tuple[str, str], buckets: int | None = None, breakpoints: Sequence[float] | None = None, date: str = "mis_date") -> DataFrame:
+def psi_by_period(df: DataFrame, column: str, reference: tuple[str, str], actual: tuple[str, str], buckets: int | None = None, breakpoints: Sequence[float] | None = None, date: str = "mis_date", approximate: bool = False) -> DataFrame:
     """bucket, breakpoint, counts, shares, component.
 
     Buckets are [a, b), the last one [a, b]; values outside count in the total only; just zero shares are replaced.
@@ -65,7 +65,7 @@ def psi_by_period(df: DataFrame, column: str, reference: tuple[str, str], actual
     inside = lambda p: F.col(date).between(F.lit(p[0]).cast("date"), F.lit(p[1]).cast("date"))
     d = df.select(F.when(inside(reference), 1).otherwise(0).alias("e"), F.when(inside(actual), 1).otherwise(0).alias("a"), F.col(column).cast("double").alias("x"))
     d = d.where("e = 1 OR a = 1")
-    edges = d.where("e = 1").agg(_quantiles("x", buckets, False).alias("edges")) if breakpoints is None else d.sparkSession.createDataFrame([([float(b) for b in breakpoints],)], "edges array<double>")
+    edges = d.where("e = 1").agg(_quantiles("x", buckets, approximate).alias("edges")) if breakpoints is None else d.sparkSession.createDataFrame([([float(b) for b in breakpoints],)], "edges array<double>")
     n = F.size("edges") - 1
     low = F.size(F.filter(F.slice("edges", F.lit(1), n), lambda v: v <= F.col("x")))
     bucket = F.when((F.col("x") >= F.col("edges")[0]) & (F.col("x") <= F.element_at("edges", -1)), low)
@@ -93,9 +93,9 @@ def stability_report(baseline: DataFrame, comparison: DataFrame, variables: Sequ
     return r.select("variable", "psi", stability_status(F.col("psi")).alias("status"), severity(F.col("psi")).alias("severity"))
 
 
-def main_vs_recent(main: DataFrame, recent: DataFrame, but: Sequence[str] = ("authorization_id",)) -> DataFrame:
+def main_vs_recent(main: DataFrame, recent: DataFrame, but: Sequence[str] = ("authorization_id",), approximate: bool = False) -> DataFrame:
     shared = [c for c in numeric_columns(main, but) if c in recent.columns]
-    return stability_report(main, recent, shared)
+    return stability_report(main, recent, shared, approximate=approximate)
 
 
 def drift_alerts(report: DataFrame, segment: str, period: str) -> DataFrame:

@@ -67,9 +67,19 @@ def win4(spark, d):
     return frontier(spark, d)
 
 
-def best_sql(extra="TRUE", targets=TARGETS):
+#: 50 targets from a hundredth of a percent to 1.1 times the highest risk of a cell.
+GRID_SQL = "SELECT round(0.01::DOUBLE + i * (1.1::DOUBLE * mx - 0.01) / 49, 6) AS target FROM (SELECT max(7.0::DOUBLE * a::DOUBLE / nullif(t::DOUBLE, 0) * 100) AS mx FROM g), range(50) r(i)"
+
+
+def target_grid(spark, d, n=50):
+    mx = cells(spark, d).agg(F.max(F.lit(7.0) * F.col("todu_30ever_h6").cast(cut.MONEY).cast("double") / F.expr(f"nullif(double(cast(todu_amt_pile_h6 AS {cut.MONEY})), 0)") * 100).alias("mx"))
+    i = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    return mx.select("mx", i.alias("i")).select(F.round(F.lit(0.01) + F.col("i") * (F.lit(1.1) * F.col("mx") - 0.01) / (n - 1), 6).alias("target"))
+
+
+def best_sql(extra="TRUE", targets=f"SELECT unnest({TARGETS})::DOUBLE AS target"):
     return f""",
-ts AS (SELECT unnest({targets})::DOUBLE AS target),
+ts AS ({targets}),
 lt AS (SELECT target, score_rf_bin, level, p, round(7.0::DOUBLE * a::DOUBLE - target / 100 * t::DOUBLE, 4)::DECIMAL(20,4) AS s FROM lv, ts WHERE {extra}),
 mk AS (SELECT target, solution AS path, sum(p) AS production, sum(s) AS slack FROM cuts JOIN lt USING (score_rf_bin, level) GROUP BY 1, 2 HAVING count(*) = 4),
 best AS (SELECT target, path, production::DOUBLE AS production, slack::DOUBLE AS slack FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY production DESC, slack, path) AS k FROM mk WHERE slack <= 0) WHERE k = 1)"""
@@ -79,9 +89,9 @@ def targets(spark, values=TARGETS):
     return spark.createDataFrame([(t,) for t in values], "target double")
 
 
-@query("cut4_frontier_by_target", "SELECT * FROM best", LEVELS_SQL + best_sql())
+@query("cut4_frontier_by_target", "SELECT * FROM best", LEVELS_SQL + best_sql(targets=GRID_SQL))
 def cut4(spark, d):
-    return cut.frontier_by_target(levels(spark, d), targets(spark), ORDER)
+    return cut.frontier_by_target(levels(spark, d), target_grid(spark, d), ORDER)
 
 
 PINS = [(2, 4, 0), (4, 1, 1), (3, 3, 0)]
@@ -100,6 +110,15 @@ def cut6(spark, d):
     return c.select("solution", "score_rf_bin", F.when(F.col("cut") == float("-inf"), "-inf").otherwise(F.col("cut").cast("int").cast("string")).alias("cut"))
 
 
+@query("cut6b_mask_projections", """
+WITH m AS (SELECT score_rf_bin, risk_score_rf_bin, early_bad, (sum(oa_amt_h0::DECIMAL(20,4)) > 3 * sum(todu_30ever_h6::DECIMAL(20,4)) * 20)::INT AS accept FROM booked GROUP BY 1, 2, 3)
+SELECT 'score_rf_bin' AS dimension, score_rf_bin::DOUBLE AS bin, max(accept)::DOUBLE AS accepted FROM m GROUP BY 2 UNION ALL SELECT 'risk_score_rf_bin', risk_score_rf_bin::DOUBLE, max(accept)::DOUBLE FROM m GROUP BY 2
+UNION ALL SELECT 'early_bad', early_bad::DOUBLE, max(accept)::DOUBLE FROM m GROUP BY 2""")
+def cut6b(spark, d):
+    c = booked(spark, d).groupBy("score_rf_bin", "risk_score_rf_bin", "early_bad").agg(F.sum(cut.money("oa_amt_h0")).alias("p"), F.sum(cut.money("todu_30ever_h6")).alias("a"))
+    return cut.mask_projections(c.withColumn("accept", F.expr("int(p > 3 * a * 20)")), ["score_rf_bin", "risk_score_rf_bin", "early_bad"], ())
+
+
 @query("cut7_monotonicity_violations", """
 WITH m AS (SELECT score_rf_bin, risk_score_rf_bin, (100 * todu_30ever_h6_boo * 7 / todu_amt_pile_h6_boo < 11)::INT AS accept FROM cells)
 SELECT 'score_rf_bin' AS dimension, s.score_rf_bin, s.risk_score_rf_bin FROM m s JOIN m r ON r.risk_score_rf_bin = s.risk_score_rf_bin AND r.score_rf_bin = s.score_rf_bin - 1 WHERE s.accept = 0 AND r.accept = 1
@@ -209,11 +228,6 @@ def jn4(spark, d):
     return c.select("score_rf_bin").distinct().crossJoin(F.broadcast(c.select("risk_score_rf_bin").distinct()))
 
 
-@query("set2_distinct_bin_limits", "SELECT DISTINCT score_rf_bin, level::INT AS level FROM cuts", LEVELS_SQL)
-def set2(spark, d):
-    return cut.solution_cuts(solutions(spark, d), ORDER).select("score_rf_bin", "level").dropDuplicates()
-
-
 SEGMENTS = ["automobile", "building", "furniture", "household", "machinery"]
 SEG_SQL = LEVELS_SQL + """,
 sg AS (SELECT segment_cut_off, score_rf_bin, risk_score_rf_bin, sum(oa_amt_h0::DECIMAL(20,4)) AS p, sum(todu_30ever_h6::DECIMAL(20,4)) AS a, sum(todu_amt_pile_h6::DECIMAL(20,4)) AS t FROM booked GROUP BY 1, 2, 3),
@@ -237,6 +251,13 @@ def win5(spark, d):
     return segment_frontiers(spark, d)
 
 
+@query("set2_distinct_bin_limits", "SELECT DISTINCT score_rf_bin, level::INT AS level FROM sf JOIN cuts USING (solution)", SEG_SQL)
+def set2(spark, d):
+    """The limits of single bins that the frontiers of all segments use, each once."""
+    f = segment_frontiers(spark, d).select("solution")
+    return f.join(cut.solution_cuts(solutions(spark, d), ORDER), "solution").select("score_rf_bin", "level").distinct()
+
+
 EXACT_SQL = ("WITH " + ", ".join(f"f{i} AS (SELECT solution, oa_amt_h0::DECIMAL(20,4) AS p, round(oa_amt_h0 * (risk - 11.0::DOUBLE), 4)::DECIMAL(20,4) AS s FROM sf WHERE segment_cut_off = '{s}')" for i, s in enumerate(SEGMENTS)) + """,
 a0 AS (SELECT f0.solution || '|' || f1.solution AS path, f0.p + f1.p AS p, f0.s + f1.s AS s FROM f0, f1),
 a1 AS (SELECT f2.solution || '|' || f3.solution || '|' || f4.solution AS path, f2.p + f3.p + f4.p AS p, f2.s + f3.s + f4.s AS s FROM f2, f3, f4),
@@ -270,9 +291,9 @@ def cut20(spark, d):
 
 
 DIR_SQL = """
-WITH b AS (SELECT VAR AS x, sum(todu_30ever_h6::DECIMAL(20,4))::DOUBLE / nullif(sum(todu_amt_pile_h6::DECIMAL(20,4))::DOUBLE, 0) AS y, sum(oa_amt_h0::DECIMAL(20,4))::DOUBLE AS w FROM booked GROUP BY 1),
+WITH b AS (SELECT VAR AS x, round_even(7.0::DOUBLE * sum(todu_30ever_h6::DECIMAL(20,4))::DOUBLE / nullif(sum(todu_amt_pile_h6::DECIMAL(20,4))::DOUBLE, 0), 2) AS y, sum(oa_amt::DECIMAL(20,4))::DOUBLE AS w FROM booked GROUP BY 1),
 r AS (SELECT x, w, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0::DOUBLE AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0::DOUBLE AS ry FROM b),
-p AS (SELECT r.*, b, row_number() OVER (PARTITION BY b ORDER BY x) AS i, CASE WHEN b = 0 THEN row_number() OVER (PARTITION BY b ORDER BY x) ELSE row_number() OVER (PARTITION BY b ORDER BY md5('direction|' || b || '|' || x)) END AS j FROM r, range(0, 201) z(b)),
+p AS (SELECT r.*, b, row_number() OVER (PARTITION BY b ORDER BY x) AS i, CASE WHEN b = 0 THEN row_number() OVER (PARTITION BY b ORDER BY x) ELSE row_number() OVER (PARTITION BY b ORDER BY md5('direction|' || b || '|' || x)) END AS j FROM r, range(0, 1001) z(b)),
 q AS (SELECT p.b, sum(p.w * p.rx * y.ry) / sum(p.w) - sum(p.w * p.rx) / sum(p.w) * sum(p.w * y.ry) / sum(p.w) AS cov, count(*) AS n FROM p JOIN p y ON y.b = p.b AND y.i = p.j GROUP BY 1),
 o AS (SELECT cov AS covariance, n FROM q WHERE b = 0),
 d AS (SELECT (count(*) FILTER (abs(cov) >= abs(covariance) - 1e-12) + 1)::DOUBLE / (count(*) + 1) AS p_value FROM q, o WHERE b > 0)

@@ -25,7 +25,7 @@ rates AS (SELECT score_rf_bin, risk_score_rf_bin, n_booked, n_rejected, CASE WHE
 rej AS (SELECT score_rf_bin, risk_score_rf_bin, sum(oa_amt::DECIMAL(20,4))::DOUBLE AS oa_amt_h0_rep FROM demand WHERE status_name = 'rejected' AND reject_reason = '09-score' GROUP BY 1, 2),
 scored AS (SELECT *, ratio_rep * todu_amt_pile_h6_rep / 7.0::DOUBLE AS todu_30ever_h6_rep FROM (SELECT *, 0.97::DOUBLE * oa_amt_h0_rep + 1500.0::DOUBLE AS todu_amt_pile_h6_rep, greatest(1.25::DOUBLE * (0.09::DOUBLE - 0.003::DOUBLE * score_rf_bin + 0.005::DOUBLE * risk_score_rf_bin), 0.0) AS ratio_rep FROM rej)),
 up AS (SELECT score_rf_bin, risk_score_rf_bin, oa_amt_h0_rep, todu_amt_pile_h6_rep, ratio_rep, uplift, todu_30ever_h6_rep * uplift AS todu_30ever_h6_rep FROM (
-  SELECT s.*, least(greatest(1.0::DOUBLE + 1.0::DOUBLE * (1 - coalesce(acceptance_rate, 1.0)), 1.0), 3.0) AS uplift FROM scored s LEFT JOIN rates USING (score_rf_bin, risk_score_rf_bin))),
+  SELECT s.*, least(greatest(1.0::DOUBLE + 1.5::DOUBLE * (1 - coalesce(acceptance_rate, 1.0)), 1.0), 3.0) AS uplift FROM scored s LEFT JOIN rates USING (score_rf_bin, risk_score_rf_bin))),
 cells AS (SELECT *, todu_30ever_h6_boo + todu_30ever_h6_rep AS todu_30ever_h6, todu_amt_pile_h6_boo + todu_amt_pile_h6_rep AS todu_amt_pile_h6, oa_amt_h0_boo + oa_amt_h0_rep AS oa_amt_h0 FROM (
   SELECT score_rf_bin, risk_score_rf_bin, coalesce(todu_30ever_h6_boo, 0) AS todu_30ever_h6_boo, coalesce(todu_amt_pile_h6_boo, 0) AS todu_amt_pile_h6_boo, coalesce(oa_amt_h0_boo, 0) AS oa_amt_h0_boo,
    coalesce(todu_30ever_h6_rep * 0.8::DOUBLE, 0) AS todu_30ever_h6_rep, coalesce(todu_amt_pile_h6_rep * 0.8::DOUBLE, 0) AS todu_amt_pile_h6_rep, coalesce(oa_amt_h0_rep * 0.8::DOUBLE, 0) AS oa_amt_h0_rep

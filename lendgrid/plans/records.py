@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as fn
 from ..operators import population as pop, quality as dq
 from ..sources import applications as src
-from ..sources.applications import applications
+from ..sources.shared import prepared as applications
 from .registry import booked, clean, demand, query
 
 INDICATORS = ["oa_amt", "oa_amt_h0", "todu_30ever_h6", "todu_amt_pile_h6"]
@@ -63,7 +63,7 @@ def prj8(spark, d):
     return pop.bin_scores(pop.base_population(applications(spark, d))).select("authorization_id", "score_rf_bin", "risk_score_rf_bin")
 
 
-@query("prj8b_outside_share", "SELECT 'score_rf' AS \"column\", avg((score_rf IS NULL OR score_rf <= 300 OR score_rf > 500)::INT)::DOUBLE AS outside FROM base")
+@query("prj8b_outside_share", "SELECT 'score_rf' AS \"column\", avg((score_rf IS NULL OR score_rf < 300 OR score_rf > 500)::INT)::DOUBLE AS outside FROM base")
 def prj8b(spark, d):
     return pop.outside_share(pop.base_population(applications(spark, d)), "score_rf", 300.0, 500.0)
 
@@ -109,6 +109,15 @@ def prj15(spark, d):
     return p.drop("score_rf_bin", "risk_score_rf_bin")
 
 
+MONOMIALS = fn.monomials(["score_rf_bin", "risk_score_rf_bin", "early_bad"], 3)
+
+
+@query("prj15b_monomials", "SELECT authorization_id, " + ", ".join(f"{' * '.join(f'{v}::DOUBLE' for v in m)} AS {fn.monomial_name(m)}" for m in MONOMIALS if len(m) > 1) + " FROM booked")
+def prj15b(spark, d):
+    p = pop.monomial_features(booked(spark, d).select("authorization_id", "score_rf_bin", "risk_score_rf_bin", "early_bad"), ["score_rf_bin", "risk_score_rf_bin", "early_bad"], 3)
+    return p.drop("score_rf_bin", "risk_score_rf_bin", "early_bad")
+
+
 @query("prj16_cell_label", "SELECT score_rf_bin, risk_score_rf_bin, printf('%.2fM %.2f%%', round_even(sum(oa_amt_h0::DECIMAL(20,4))::DOUBLE / 1e6, 2), round_even(700.0::DOUBLE * sum(todu_30ever_h6::DECIMAL(20,4))::DOUBLE / sum(todu_amt_pile_h6::DECIMAL(20,4))::DOUBLE, 2)) AS label FROM booked GROUP BY 1, 2")
 def prj16(spark, d):
     c = booked(spark, d).groupBy("score_rf_bin", "risk_score_rf_bin").agg(*[fn.money_sum(x).alias(x) for x in INDICATORS[1:]])

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import population as pop
-from ..sources.applications import APPLICATIONS_SQL, applications
+from ..sources.applications import APPLICATIONS_SQL
+from ..sources.shared import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,7 +44,7 @@ def query(name: str, sql: str | None = None, common: str = COMMON_SQL):
 
 
 def clean(spark, sf_dir) -> DataFrame:
-    return pop.clean(applications(spark, sf_dir))
+    return pop.clean(prepared(spark, sf_dir))
 
 
 def demand(spark, sf_dir, period=pop.MAIN) -> DataFrame:

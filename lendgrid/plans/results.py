@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import audit as au, cells as cl, consolidate as co, cutoffs as cut, population as pop, risk_models as rm
-from ..plans.scores import POISSON_SQL
+from ..plans.scores import ALERTS_SQL, POISSON_SQL, REPORT_SQL
 from ..sources import applications as src
+from ..sources.shared import new_path
 from .cuts import FIXED_SQL, ORDER, fixed_cuts, frontier, solutions
 from .portfolio import CELLS_SQL, rounded
 from .registry import COMMON_SQL, booked, clean, demand, query
@@ -52,11 +51,11 @@ def cut15(spark, d):
 
 @query("cut17_bootstrap_kpis", f"""
 WITH f AS ({FIXED_SQL}), k AS (SELECT authorization_id, oa_amt_h0, todu_30ever_h6, todu_amt_pile_h6 FROM booked JOIN f USING (score_rf_bin) WHERE risk_score_rf_bin <= cut),
-w AS (SELECT b, {POISSON_SQL} AS w, oa_amt_h0, todu_30ever_h6, todu_amt_pile_h6 FROM (SELECT *, ('0x' || substr(md5('kpi|' || b || '|' || authorization_id), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS u FROM k CROSS JOIN range(1, 101) x(b))),
+w AS (SELECT b, {POISSON_SQL} AS w, oa_amt_h0, todu_30ever_h6, todu_amt_pile_h6 FROM (SELECT *, ('0x' || substr(md5('kpi|' || b || '|' || authorization_id), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS u FROM k CROSS JOIN range(1, 1001) x(b))),
 s AS (SELECT b, sum(oa_amt_h0::DECIMAL(20,4) * w)::DOUBLE AS p, 7.0::DOUBLE * sum(todu_30ever_h6::DECIMAL(20,4) * w)::DOUBLE / sum(todu_amt_pile_h6::DECIMAL(20,4) * w)::DOUBLE * 100 AS r FROM w WHERE w > 0 GROUP BY 1)
 SELECT round(quantile_cont(p, 0.025), 4) AS production_low, round(quantile_cont(p, 0.975), 4) AS production_high, round(quantile_cont(r, 0.025), 6) AS risk_low, round(quantile_cont(r, 0.975), 6) AS risk_high FROM s""")
 def cut17(spark, d):
-    b = au.bootstrap_kpis(booked(spark, d), fixed_cuts(spark), 100)
+    b = au.bootstrap_kpis(booked(spark, d), fixed_cuts(spark), 1000)
     return b.select(F.round("production_low", 4).alias("production_low"), F.round("production_high", 4).alias("production_high"), F.round("risk_low", 6).alias("risk_low"), F.round("risk_high", 6).alias("risk_high"))
 
 
@@ -106,6 +105,19 @@ def agg13(spark, d):
     return rounded(co.combine_ci(m))
 
 
+@query("agg13b_combine_risk_ci", """
+WITH r AS (SELECT *, 7.0::DOUBLE * todu_30ever_h6 / todu_amt_pile_h6 * 100 AS risk FROM lvl),
+i AS (SELECT *, CASE WHEN metric = 'Actual' THEN risk ELSE risk * 0.9::DOUBLE END AS lo, CASE WHEN metric = 'Actual' THEN risk ELSE risk * 1.2::DOUBLE END AS hi FROM r),
+c AS (SELECT scenario, period, level, name, metric, sum((lo + hi) / 2) AS mid, sqrt(sum(pow((hi - lo) / 3.92, 2))) AS se FROM i GROUP BY 1, 2, 3, 4, 5)
+SELECT scenario, period, level, name, metric, CASE WHEN se > 0 THEN round(mid - 1.96 * se, 4) ELSE 0 END AS risk_ci_lower, CASE WHEN se > 0 THEN round(mid + 1.96 * se, 4) ELSE 0 END AS risk_ci_upper FROM c""", METRICS_SQL)
+def agg13b(spark, d):
+    from ..functions.scalars import risk_ratio
+
+    m = metrics(spark, d).withColumn("risk", risk_ratio(F.col("todu_30ever_h6"), F.col("todu_amt_pile_h6"), percent=True, decimals=None))
+    wide = lambda f: F.when(F.col("metric") == "Actual", F.col("risk")).otherwise(F.col("risk") * f)
+    return rounded(co.combine_risk_ci(m.withColumns({"risk_low": wide(0.9), "risk_high": wide(1.2)})))
+
+
 @query("cut21_scenario_comparison", "SELECT scenario, level, name, max(risk) FILTER (period = 'main') AS main_risk, max(production) FILTER (period = 'main') AS main_production, max(risk) FILTER (period = 'recent') AS recent_risk, max(production) FILTER (period = 'recent') AS recent_production, round(max(risk) FILTER (period = 'recent') - max(risk) FILTER (period = 'main'), 4) AS delta_risk FROM con WHERE metric = 'Optimum selected' GROUP BY 1, 2, 3", METRICS_SQL)
 def cut21(spark, d):
     return co.scenario_comparison(co.consolidate(metrics(spark, d)))
@@ -158,12 +170,7 @@ def jn8(spark, d):
 
 
 def _folder(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="lendgrid-")
-    return f"{base}/results-{uuid.uuid4().hex}"
+    return new_path(spark, "results")
 
 
 @query("src2_read_results", "SELECT segment, scenario, period, production FROM ms WHERE metric = 'Actual'", METRICS_SQL)
@@ -180,7 +187,7 @@ def src3(spark, d):
     return spark.read.schema("metric string, segment string, scenario string, period string").csv(f"{base}/metrics").select("segment", "scenario", "period", "metric")
 
 
-@query("src4_write_alerts")
+@query("src4_write_alerts", ALERTS_SQL, REPORT_SQL)
 def src4(spark, d):
     from .registry import QUERIES  # the alert table that is written
 
@@ -208,11 +215,51 @@ def predicted(model, c):
     return model.transform(c).select(*cl.CELL, "target", F.round("prediction", 6).alias("prediction"))
 
 
-@query("ml2_linear_risk_model")
+def least_squares_sql(source: str, keys: str = "", alpha: str = "0") -> str:
+    """Intercept and two slopes of y on x and z, weighted by w, with a ridge penalty, for each of ``keys``, as b0, b1, b2."""
+    k, by = (f"{keys}, ", f" GROUP BY {keys}") if keys else ("", "")
+    on = f" USING ({keys})" if keys else " ON TRUE"
+    return f"""SELECT {k}my - b1 * mx - b2 * mz AS b0, b1, b2 FROM (
+  SELECT {k}mx, mz, my, (sxy * (szz + al) - szy * sxz) / ((sxx + al) * (szz + al) - sxz * sxz) AS b1, (szy * (sxx + al) - sxy * sxz) / ((sxx + al) * (szz + al) - sxz * sxz) AS b2 FROM (
+   SELECT {k}any_value(mx) AS mx, any_value(mz) AS mz, any_value(my) AS my, any_value({alpha})::DOUBLE AS al, sum(w*(x-mx)*(x-mx)) AS sxx, sum(w*(z-mz)*(z-mz)) AS szz, sum(w*(x-mx)*(z-mz)) AS sxz, sum(w*(x-mx)*(y-my)) AS sxy, sum(w*(z-mz)*(y-my)) AS szy
+   FROM {source} JOIN (SELECT {k}sum(w*x)/sum(w) AS mx, sum(w*z)/sum(w) AS mz, sum(w*y)/sum(w) AS my FROM {source}{by}) m{on}{by}))"""
+
+
+MODEL_SQL = COMMON_SQL + """,
+t0 AS (SELECT *, round_even(7.0::DOUBLE * a / nullif(w, 0), 2) AS y FROM (SELECT score_rf_bin AS x, risk_score_rf_bin AS z, sum(todu_30ever_h6::DECIMAL(20,4))::DOUBLE AS a, sum(todu_amt_pile_h6::DECIMAL(20,4))::DOUBLE AS w FROM booked GROUP BY 1, 2)),
+t1 AS (SELECT quantile_cont(y, 0.5) AS mid FROM t0), t2 AS (SELECT quantile_cont(abs(y - mid), 0.5) AS mad FROM t0, t1),
+mc AS (SELECT x, z, w, y FROM t0, t1, t2 WHERE y IS NOT NULL AND (mad = 0 OR 0.6745 * abs(y - mid) < 3 * mad)),
+mk AS (SELECT 'linear' AS kind, 0.0 AS alpha, * FROM mc UNION ALL SELECT 'ridge', 10.0, * FROM mc),
+lb AS (""" + least_squares_sql("mk", "kind", "alpha") + """),
+lp AS (SELECT kind, x AS score_rf_bin, z AS risk_score_rf_bin, w, y AS target, b0 + b1 * x + b2 * z AS p FROM mk JOIN lb USING (kind))"""
+FOLDS_SQL = COMMON_SQL + """,
+f0 AS (SELECT floor(('0x' || substr(md5('17|' || authorization_id), 1, 8))::BIGINT::DOUBLE / 4294967296.0 * 3)::INT AS fold, score_rf_bin AS x, risk_score_rf_bin AS z, sum(todu_30ever_h6::DECIMAL(20,4))::DOUBLE AS va, sum(todu_amt_pile_h6::DECIMAL(20,4))::DOUBLE AS vt FROM booked GROUP BY 1, 2, 3),
+f1 AS (SELECT x, z, sum(va::DECIMAL(20,4))::DOUBLE AS a, sum(vt::DECIMAL(20,4))::DOUBLE AS t FROM f0 GROUP BY 1, 2),
+f2 AS (SELECT i::INT AS fold, f1.*, coalesce(va, 0) AS va, coalesce(vt, 0) AS vt FROM f1 CROSS JOIN range(3) r(i) LEFT JOIN f0 ON f0.fold = i AND f0.x = f1.x AND f0.z = f1.z),
+f3 AS (SELECT fold, x, z, vt, 7.0::DOUBLE * va / nullif(vt, 0) AS v, t - vt AS w, 7.0::DOUBLE * (a - va) / nullif(t - vt, 0) AS y FROM f2),
+f4 AS (SELECT * FROM f3 WHERE y IS NOT NULL AND w > 0),
+fb AS (""" + least_squares_sql("f4", "fold") + """),
+fp AS (SELECT fold, x AS score_rf_bin, z AS risk_score_rf_bin, vt, v, b0 + b1 * x + b2 * z AS p FROM f3 JOIN fb USING (fold))"""
+LINEAR = [("linear", "linear", list(cl.CELL), 0.0, 0.0)]
+
+
+@query("ml2_linear_risk_model", "SELECT kind, score_rf_bin, risk_score_rf_bin, target, round(p, 6) AS prediction FROM lp", MODEL_SQL)
 def ml2(spark, d):
     c = model_cells(spark, d)
-    out = [predicted(rm.linear_risk_model(c, list(cl.CELL), k, s, 0.5), c).withColumn("kind", F.lit(k)) for k, s in (("linear", 0.0), ("ridge", 10.0), ("lasso", 0.001), ("elastic_net", 0.001))]
-    return co.union_all(out)
+    return co.union_all([predicted(rm.linear_risk_model(c, list(cl.CELL), k, s), c).withColumn("kind", F.lit(k)) for k, s in (("linear", 0.0), ("ridge", 10.0))])
+
+
+@query("ml2b_weighted_r2", "SELECT kind, round(1 - sum(w * (target - p) * (target - p)) / (sum(w * target * target) - sum(w * target) * sum(w * target) / sum(w)), 6) AS r2 FROM lp GROUP BY 1", MODEL_SQL)
+def ml2b(spark, d):
+    c = model_cells(spark, d)
+    kinds = [rm.linear_risk_model(c, list(cl.CELL), k, s).transform(c).withColumn("kind", F.lit(k)) for k, s in (("linear", 0.0), ("ridge", 10.0))]
+    return rounded(rm.weighted_r2(co.union_all(kinds), ["kind"]), 6)
+
+
+@query("ml2c_sparse_linear_models")
+def ml2c(spark, d):
+    c = model_cells(spark, d)
+    return co.union_all([predicted(rm.linear_risk_model(c, list(cl.CELL), k, 0.001, 0.5), c).withColumn("kind", F.lit(k)) for k in ("lasso", "elastic_net")])
 
 
 @query("ml3_tweedie_model")
@@ -232,14 +279,14 @@ def ml5(spark, d):
     return rm.monotone_tree_surface(model_cells(spark, d)).select(*cl.CELL, "target", F.round("prediction", 6).alias("prediction"))
 
 
-@query("ml6_folded_cv")
+@query("ml6_folded_cv", "SELECT 'linear' AS name, fold, round(sqrt(sum(vt * (p - v) * (p - v)) / sum(vt)), 6) AS rmse FROM fp WHERE v IS NOT NULL GROUP BY 2", FOLDS_SQL)
 def ml6(spark, d):
-    return rounded(rm.cross_validate(rm.fold_cells(booked(spark, d), 3), 3, list(cl.CELL), lambda c, f: rm.linear_risk_model(c, f))[0], 6)
+    return rounded(rm.fold_scores(rm.grid_cv(rm.fold_cells(booked(spark, d), 3), LINEAR)), 6)
 
 
 @query("ml7_hyperparameter_search")
 def ml7(spark, d):
-    return rounded(rm.hyperparameter_search(rm.fold_cells(booked(spark, d), 3), 3, list(cl.CELL), [0.1, 10.0], ["ridge"]), 6)
+    return rounded(rm.hyperparameter_search(booked(spark, d), 5, rm.FEATURE_SETS["base"]), 6)
 
 
 @query("ml8_one_se_select", """
@@ -252,14 +299,12 @@ def ml8(spark, d):
 
 @query("ml9_feature_set_cv")
 def ml9(spark, d):
-    sets = {k: rm.FEATURE_SETS[k] for k in ("first", "second")}
-    return rounded(rm.feature_set_cv(rm.fold_cells(booked(spark, d), 3), 3, sets), 6)
+    return rounded(rm.feature_set_cv(rm.fold_cells(booked(spark, d), 5)), 6)
 
 
-@query("ml10_cell_prediction_ci")
+@query("ml10_cell_prediction_ci", "SELECT score_rf_bin, risk_score_rf_bin, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS std, count(*) AS n_folds, round(avg(p) - 1.96 * stddev_samp(p), 6) AS low, round(avg(p) + 1.96 * stddev_samp(p), 6) AS high FROM fp GROUP BY 1, 2", FOLDS_SQL)
 def ml10(spark, d):
-    _, p = rm.cross_validate(rm.fold_cells(booked(spark, d), 3), 3, list(cl.CELL), lambda c, f: rm.linear_risk_model(c, f))
-    return rounded(rm.cell_prediction_ci(p), 6)
+    return rounded(rm.cell_prediction_ci(rm.grid_cv(rm.fold_cells(booked(spark, d), 3), LINEAR)), 6)
 
 
 @query("ml11_linear_attribution", "WITH m AS (SELECT avg(score_rf_bin) AS a, avg(risk_score_rf_bin) AS b FROM boo) SELECT 'score_rf_bin' AS feature, round(avg(abs(-0.03 * (score_rf_bin - a))), 9) AS mean_abs FROM boo, m UNION ALL SELECT 'risk_score_rf_bin', round(avg(abs(0.05 * (risk_score_rf_bin - b))), 9) FROM boo, m", CELLS_SQL)
@@ -267,13 +312,22 @@ def ml11(spark, d):
     return rounded(rm.linear_attribution(cl.booked_cells(booked(spark, d)), {"score_rf_bin": -0.03, "risk_score_rf_bin": 0.05}), 9)
 
 
-@query("ml12_supervised_bins")
+BEST_EDGE = """(SELECT edge FROM (SELECT (x + nx) / 2 AS edge, round((bt - bt::DOUBLE * bt / nt) - (bl - bl::DOUBLE * bl / nl) - ((bt - bl) - (bt - bl)::DOUBLE * (bt - bl) / (nt - nl)), 9) AS gain FROM (
+ SELECT x, lead(x) OVER w AS nx, sum(n) OVER w AS nl, sum(bad) OVER w AS bl, sum(n) OVER (PARTITION BY leaf) AS nt, sum(bad) OVER (PARTITION BY leaf) AS bt FROM (SELECT *, {leaf} AS leaf FROM sc) WINDOW w AS (PARTITION BY leaf ORDER BY x))
+ WHERE nx IS NOT NULL AND nl >= 200 AND nt - nl >= 200) WHERE gain > 0 ORDER BY gain DESC, edge LIMIT 1)"""
+BINS_SQL = "WITH sc AS (SELECT score_rf AS x, count(*) AS n, sum(early_bad)::BIGINT AS bad FROM clean GROUP BY 1)" + "".join(
+    f", e{i} AS (SELECT {BEST_EDGE.format(leaf=' + '.join(['1', *[f'coalesce((x > (SELECT edge FROM e{j}))::INT, 0)' for j in range(i)]]))} AS edge)" for i in range(3)
+)
+
+
+@query("ml12_supervised_bins", BINS_SQL + " SELECT (1 + coalesce((score_rf > (SELECT edge FROM e0))::INT, 0) + coalesce((score_rf > (SELECT edge FROM e1))::INT, 0) + coalesce((score_rf > (SELECT edge FROM e2))::INT, 0))::INT AS score_rf_bin, min(score_rf) AS low, max(score_rf) AS high, count(*) AS n FROM clean GROUP BY 1")
 def ml12(spark, d):
-    edges = rm.supervised_bins(clean(spark, d), "score_rf", "early_bad", 4, 200)
-    return pop.bin_scores(clean(spark, d).drop("score_rf_bin"), {"score_rf": edges}).groupBy("score_rf_bin").agg(F.min("score_rf").alias("low"), F.max("score_rf").alias("high"), F.count("*").alias("n"))
+    c = clean(spark, d)
+    edges = rm.supervised_bins(c, "score_rf", "early_bad", 4, 200)
+    return pop.bin_scores(c.drop("score_rf_bin"), {"score_rf": edges}).groupBy("score_rf_bin").agg(F.min("score_rf").alias("low"), F.max("score_rf").alias("high"), F.count("*").alias("n"))
 
 
-@query("ml16_batch_score")
+@query("ml16_batch_score", "SELECT score_rf_bin, risk_score_rf_bin, round(p, 6) AS prediction FROM lp WHERE kind = 'linear'", MODEL_SQL)
 def ml16(spark, d):
     path, c = _folder(spark), model_cells(spark, d)
     rm.save_model(rm.linear_risk_model(c, list(cl.CELL)), path, cl.CELL, kind="linear")

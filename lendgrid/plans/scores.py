@@ -76,7 +76,7 @@ def met6(spark, d):
 
 POISSON_SQL = "(" + " + ".join(f"(u >= {p!r})::INT" for p in dis.POISSON) + ")"
 BOOT_SQL = LONG_SQL + f""",
-w AS (SELECT score_name, s, y, b, {POISSON_SQL} AS w FROM (SELECT *, ('0x' || substr(md5('boot|' || b || '|' || id), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS u FROM long CROSS JOIN range(1, 41) x(b))),
+w AS (SELECT score_name, s, y, b, {POISSON_SQL} AS w FROM (SELECT *, ('0x' || substr(md5('boot|' || b || '|' || id), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS u FROM long CROSS JOIN range(1, 1001) x(b))),
 bc AS (SELECT score_name, b, s, sum(w) AS n, sum(w * y) AS bad FROM w WHERE w > 0 GROUP BY 1, 2, 3),
 bw AS (SELECT *, coalesce(sum(n - bad) OVER (PARTITION BY score_name, b ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below, sum(bad) OVER (PARTITION BY score_name, b ORDER BY s DESC) AS cb, sum(n - bad) OVER (PARTITION BY score_name, b ORDER BY s DESC) AS cg, sum(bad) OVER (PARTITION BY score_name, b) AS tb, sum(n - bad) OVER (PARTITION BY score_name, b) AS tg FROM bc),
 bm AS (SELECT score_name, b, 2 * (sum(bad * (below + (n - bad) / 2.0))::DOUBLE / (max(tb) * max(tg))::DOUBLE) - 1 AS gini, greatest(max(cb::DOUBLE / tb - cg::DOUBLE / tg), 0) AS ks FROM bw GROUP BY 1, 2),
@@ -85,7 +85,7 @@ boot AS (SELECT score_name, count(*) AS n_replicates, round(quantile_cont(gini,
 
 @query("met7_bootstrap_gini_ks", "SELECT * FROM boot", BOOT_SQL)
 def met7(spark, d):
-    return rounded(dis.bootstrap_gini_ks(long(spark, d), 40), 9)
+    return rounded(dis.bootstrap_gini_ks(long(spark, d), 1000), 9)
 
 
 @query("met8_information_value", """
@@ -116,7 +116,7 @@ def met10(spark, d):
 WITH a AS ({AUC_SQL}), r AS (SELECT score_name, {', '.join(f'round(100.0 * (sum(y) FILTER (r <= floor(n_all * {t} / 100)))::DOUBLE / sum(y), 9) AS capture_{t}' for t in (5, 10, 15, 20))} FROM ranked GROUP BY 1)
 SELECT * FROM a JOIN r USING (score_name) LEFT JOIN boot USING (score_name)""", BOOT_SQL)
 def met11(spark, d):
-    return rounded(dis.model_summary(long(spark, d), 40), 9)
+    return rounded(dis.model_summary(long(spark, d), 1000), 9)
 
 
 @query("met12_score_histogram", """

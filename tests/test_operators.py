@@ -115,7 +115,7 @@ def test_uplift_and_acceptance(spark):
     assert r == {1: 0.75, 2: 1.0}
     c = spark.createDataFrame([(1, 1, 100.0), (9, 9, 10.0)], "score_rf_bin int, risk_score_rf_bin int, todu_30ever_h6_rep double")
     up = {x.score_rf_bin: x.todu_30ever_h6_rep for x in cl.reject_uplift(c, cl.acceptance_rates(d)).collect()}
-    assert up == {1: 125.0, 9: 10.0}
+    assert up == {1: 137.5, 9: 10.0}
 
 
 def test_rolling_and_anomalies(spark):
