@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import heapq
 import pickle
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .scratch import written
+from .scratch import Tables, few, written
 from .vectors import matrix, usable
 
-TREE_ROWS, PAGE, BLOCK = 8192, 256, 256
+#: Vectors of a tree, entries of a page, queries of a block, and partitions at most.
+TREE_ROWS, PAGE, BLOCK, WIDEST = 8192, 256, 256, 20_000
 
 
 class Tree:
@@ -107,45 +108,55 @@ def _integers(column) -> np.ndarray:
 
 
 def _grow(tree_rows: int):
+    """Rows (dim, tree): every ``tree_rows`` vectors of one length in a partition, and what is left of each at its end."""
+
     def grow(batches):
-        part, seq, ids, rows = TaskContext.get().partitionId(), 0, [], []
+        held: dict[int, list] = defaultdict(list)
 
-        def tree():
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([seq], pa.int64()), pa.array([pickle.dumps(Tree(np.concatenate(ids), np.concatenate(rows)))], pa.binary())], ["part", "seq", "tree"])
+        def tree(dim):
+            ids, rows = zip(*held.pop(dim))
+            return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([pickle.dumps(Tree(np.concatenate(ids), np.concatenate(rows)))], pa.binary())], ["dim", "tree"])
 
         for batch in batches:
-            v, names = _integers(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-            while len(v):
-                room = tree_rows - sum(map(len, ids))
-                ids.append(names[:room])
-                rows.append(v[:room])
-                names, v = names[room:], v[room:]
-                if sum(map(len, ids)) == tree_rows:
-                    yield tree()
-                    seq, ids, rows = seq + 1, [], []
-        if ids:
-            yield tree()
+            for dim, names, v in _by_length(batch):
+                while len(v):
+                    room = tree_rows - sum(len(x) for x, _ in held[dim])
+                    held[dim].append((names[:room], v[:room]))
+                    names, v = names[room:], v[room:]
+                    if sum(len(x) for x, _ in held[dim]) == tree_rows:
+                        yield tree(dim)
+        for dim in list(held):
+            yield tree(dim)
 
     return grow
 
 
+def _by_length(batch):
+    """(length, ids, vectors) of each length in a batch of ids and vectors."""
+    size = np.diff(batch.column(1).offsets.to_numpy())
+    for dim in np.unique(size):
+        b = batch.filter(pa.array(size == dim))
+        yield int(dim), b.column(0).to_numpy(zero_copy_only=False), _integers(b.column(1))
+
+
 def _blocks(batches):
     for batch in batches:
-        for at in range(0, len(batch), BLOCK):
-            b = batch.slice(at, BLOCK)
-            block = (b.column(0).to_numpy(zero_copy_only=False), _integers(b.column(1)))
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], ["block"])
+        for dim, names, v in _by_length(batch):
+            for at in range(0, len(v), BLOCK):
+                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([pickle.dumps((names[at : at + BLOCK], v[at : at + BLOCK]))], pa.binary())], ["dim", "block"])
 
 
 def _search(k: int):
+    """Rows (slot, kind, payload) in order, a slot's tree (kind 0) before its blocks -> each block's best in the tree."""
+
     def search(batches):
-        last, tree = None, None
+        tree = None
         for batch in batches:
-            for t, b in zip(batch.column(0), batch.column(1)):
-                raw = t.as_py()
-                if raw != last:
-                    last, tree = raw, pickle.loads(raw)
-                names, v = pickle.loads(b.as_py())
+            for kind, payload in zip(batch.column(1).to_pylist(), batch.column(2)):
+                if kind == 0:
+                    tree = pickle.loads(payload.as_py())
+                    continue
+                names, v = pickle.loads(payload.as_py())
                 rows = [(int(n), -i, s) for n, q in zip(names, v) for s, i in tree.top(int(n), q, k)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(3)], ["query_id", "vec_id", "score"])
 
@@ -155,26 +166,25 @@ def _search(k: int):
 def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, tree_rows: int = TREE_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of ``vectors`` for each row of ``queries``, exactly.
 
-    Both have vec_id and embedding; each component x counts as floor(256 x). The vectors of one length
-    go, in place and without a shuffle, into trees of up to ``tree_rows``, written as rows; queries go
-    into blocks; every block meets every tree by a join on the tree's number, so neither side is ever
-    whole in one task, and each tree sends k rows a query. A query never finds its own vec_id. Equal
-    scores: smaller vec_id first. Vectors null or with null or non-finite components take no part;
-    without others a query has fewer rows or none. Repeated rows count each; empty tables give none.
+    Both have vec_id and embedding; each component x counts as floor(256 x). Vectors go into trees of up to
+    ``tree_rows`` of one length, in about as few partitions as that takes, written as rows and numbered; queries go into
+    blocks, and each block to every tree of its length. A tree and its blocks have a partition of their own, so
+    neither side is ever whole in one task, and each tree sends k rows a query. All lengths are one job. A query
+    never finds its own vec_id. Equal scores: smaller vec_id first. Vectors null or with null or non-finite components take
+    no part; without others a query has fewer rows or none. Repeated rows count each; empty tables give none; other columns are not read.
     """
-    fit = lambda d: d.select(F.col("vec_id").cast("long"), "embedding").where("vec_id is not null").where(usable(F.col("embedding")) & (F.size("embedding") > 0))
+    fit = lambda d: d.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null").where(usable(F.col("embedding")) & (F.size("embedding") > 0))
     v, q = fit(vectors), fit(queries)
-    out = None
-    for n in sorted(r[0] for r in v.select(F.size("embedding").alias("n")).distinct().toLocalIterator()):
-        trees = written(v.where(F.size("embedding") == n).mapInArrow(_grow(tree_rows), "part long, seq long, tree binary"))
-        slots = max(1, trees.count())
-        trees = trees.select(F.pmod(F.xxhash64("part", "seq"), F.lit(slots)).alias("slot"), "tree")
-        blocks = q.where(F.size("embedding") == n).mapInArrow(_blocks, "block binary")
-        blocks = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"), "block")
-        # Little data, much work: the number of partitions is given, so that Spark doesn't merge them by size.
-        found = trees.repartition(slots, "slot").join(blocks.repartition(slots, "slot"), "slot").select("tree", "block").mapInArrow(_search(k), "query_id long, vec_id long, score long")
-        out = found if out is None else out.union(found)
-    if out is None:
-        out = v.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return out.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    with Tables() as tables:
+        most = max(1, -(-vectors.count() // tree_rows))
+        trees = tables.written(v.coalesce(most).mapInArrow(_grow(tree_rows), "dim int, tree binary").withColumn("name", F.monotonically_increasing_id()))
+        number = (F.row_number().over(Window.orderBy("dim", "name")) - 1).cast("int")  # of names alone: a row for each thousands of vectors
+        slots = tables.written(trees.select("dim", "name", number.alias("slot")))
+        n = slots.count()
+        blocks = q.mapInArrow(_blocks, "dim int, block binary").join(few(slots.select("dim", "slot")), "dim")
+        rows = trees.join(few(slots.select("name", "slot")), "name").select("slot", F.lit(0).alias("kind"), F.col("tree").alias("payload"))
+        rows = rows.union(blocks.select("slot", F.lit(1), "block"))
+        rows = rows.repartitionById(max(1, min(n, WIDEST)), F.col("slot") % max(1, min(n, WIDEST))).sortWithinPartitions("slot", "kind")
+        found = rows.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return written(found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k))
