@@ -19,7 +19,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import release, written
+from .scratch import Tables, release, written
 
 CHUNK_TOKENS, CUT = 1_200_000, 5
 #: The corpus is read once a round, each for its share of the buckets: what is shuffled at once shrinks accordingly.
@@ -58,7 +58,7 @@ class _Vocabulary(dict):
 
 def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets: int, turn: int):
     """Rows (kind, bucket, payload) of one chunk: bigrams 'b', words 'u', documents 'm', for the buckets of this round."""
-    hashed = np.fromiter((xxhash.xxh64_intdigest(w) >> 16 for w in words), np.uint64, len(words))
+    hashed = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
     lengths = np.array([len(x) - 1 for x in ids])
     known = np.array([not d[1] for d in docs])
     doc = np.repeat(np.arange(len(docs), dtype=np.uint32), lengths)
@@ -270,7 +270,7 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     rest over the unigram mass of the words not seen after it, so each context sums to exactly 1.
     Contexts without any discount count one more event, so that a rest exists.
 
-    Words are held by 48-bit hashes. Null and empty texts hold just the end token; a null doc_id is
+    Words are held by 64-bit hashes. Null and empty texts hold just the end token; a null doc_id is
     trained on, not held out; repeated rows count each. No training documents: every
     token is unknown with probability 1, and the base's N and V are 0. An empty table gives none.
     """
@@ -278,24 +278,28 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
     name = f"lendgrid_grams_{uuid.uuid4().hex}"
-    for turn in range(ROUNDS):
-        grams = d.mapInArrow(_emit(buckets, turn), "kind string, bucket int, part int, seq int, payload binary").repartition(buckets, "bucket")
-        grams.write.mode("append").option("compression", "none").bucketBy(buckets, "bucket").saveAsTable(name)
-        del grams
-        release(spark)
-    table = spark.table(name)
-    counted = written(table.where("kind <> 'm'").groupBy("bucket").applyInPandas(_count(buckets), "kind string, to int, source int, payload binary"))
-    tally = np.zeros(2 * (CUT + 3), np.int64)
-    for row in counted.where("kind = 's'").select("payload").toLocalIterator():  # 16 numbers a bucket
-        tally += np.frombuffer(row[0], np.int64)
-    uni, bi = tally[: CUT + 3], tally[CUT + 3 :]
-    asks = counted.where("kind = 'a'").select("to", "source", "payload")
-    words = counted.where("kind = 'u'").select(F.col("to").alias("own"), F.col("payload").alias("words"))
-    answers = asks.groupBy("to").cogroup(words.groupBy("own")).applyInPandas(_answer, "bucket int, home int, payload binary")
-    sums = table.where("kind = 'b'").groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_score(buckets, uni, bi), "part int, seq int, kind string, payload binary")
-    parts = table.where("kind = 'm'").select("part", "seq", "kind", "payload").union(sums)
-    scores = written(parts.groupBy("part", "seq").applyInPandas(
-        _documents(int(uni[CUT + 1])), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    ))
-    spark.sql(f"DROP TABLE {name}")
-    return scores
+    tables = Tables()
+    try:
+        for turn in range(ROUNDS):
+            grams = d.mapInArrow(_emit(buckets, turn), "kind string, bucket int, part int, seq int, payload binary").repartition(buckets, "bucket")
+            grams.write.mode("append").option("compression", "none").bucketBy(buckets, "bucket").saveAsTable(name)
+            del grams
+            release(spark)
+        table = spark.table(name)
+        counted = tables.written(table.where("kind <> 'm'").groupBy("bucket").applyInPandas(_count(buckets), "kind string, to int, source int, payload binary"))
+        tally = np.zeros(2 * (CUT + 3), np.int64)
+        for row in counted.where("kind = 's'").select("payload").toLocalIterator():  # 16 numbers a bucket
+            tally += np.frombuffer(row[0], np.int64)
+        uni, bi = tally[: CUT + 3], tally[CUT + 3 :]
+        asks = counted.where("kind = 'a'").select("to", "source", "payload")
+        words = counted.where("kind = 'u'").select(F.col("to").alias("own"), F.col("payload").alias("words"))
+        answers = asks.groupBy("to").cogroup(words.groupBy("own")).applyInPandas(_answer, "bucket int, home int, payload binary")
+        sums = table.where("kind = 'b'").groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_score(buckets, uni, bi), "part int, seq int, kind string, payload binary")
+        parts = table.where("kind = 'm'").select("part", "seq", "kind", "payload").union(sums)
+        scores = written(parts.groupBy("part", "seq").applyInPandas(
+            _documents(int(uni[CUT + 1])), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        ))
+        return scores
+    finally:
+        tables.__exit__()
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
