@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import heapq
 import pickle
+from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .components import connected_components
-from .scratch import written
-from .vectors import nonzero, usable
+from .scratch import Tables, few, written
+from .vectors import matrix, nonzero, usable
 
 SHARD_ROWS, LINKS, BUILD_BEAM, BEAM, WIDEST, AUDITED, SIMILAR = 8192, 12, 40, 24, 384, 48, 0.98
-KEY = ["label", "dim", "shard"]
+#: Partitions that graphs are spread over at most.
+WIDE = 20_000
 
 
 class Graph:
@@ -112,13 +113,19 @@ class Graph:
 def links(graph: Graph, queries: np.ndarray, least: float) -> list[np.ndarray]:
     """For each unit query the rows of the graph's shard at cosine ``least`` or more.
 
-    A sample is audited against all of the shard; while a link is missing the beam doubles and
+    A sample is audited against all of the shard, drawn until it has ``AUDITED`` queries and as many links or an eighth of
+    all queries; while a link is missing the beam doubles and
     everything is searched again. A query with more links than ``WIDEST`` reads its shard exactly. So
     does every query if the beam grows that far.
     """
     n, slack = len(queries), least - 1e-9
-    audit = np.unique(np.linspace(0, n - 1, min(AUDITED, n)).astype(int))
-    truth = [np.flatnonzero(graph.v @ queries[k] >= least) for k in audit]
+    audit, truth, seen = [], [], 0
+    for at in np.random.default_rng(n).permutation(n).tolist():
+        audit.append(at)
+        truth.append(np.flatnonzero(graph.v @ queries[at] >= least))
+        seen += len(truth[-1]) - (graph.v is queries)
+        if len(audit) >= AUDITED and (seen >= AUDITED or len(audit) >= n // 8):
+            break
     width = BEAM
     while width <= WIDEST:
         missed = 0
@@ -163,18 +170,24 @@ def _roots(n: int, found: list[np.ndarray]) -> np.ndarray:
 
 
 def _build(least: float):
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep", kind="stable")
-        unit = _unit(np.stack(pdf["embedding"].to_numpy()).astype(np.float64))
-        ids, weight = pdf["rep"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64)
-        graph = Graph(unit)
-        found = links(graph, unit, least)
-        n_links = np.array([weight[got].sum() for got in found]) - 1
-        roots = ids[_roots(len(ids), found)]
-        return pd.DataFrame({
-            "label": [pdf["label"].iloc[0]], "dim": [pdf["dim"].iloc[0]], "shard": [pdf["shard"].iloc[0]],
-            "graph": [pickle.dumps((ids, weight, roots, graph))], "local": [pickle.dumps((ids, n_links, roots))],
-        })
+    """Rows (slot, name, copies, embedding) of some whole shards -> one row a shard: its graph, what it asks of others, its own links."""
+
+    def build(batches):
+        held = defaultdict(list)
+        for batch in batches:
+            for slot in np.unique(batch.column(0).to_numpy()).tolist():
+                b = batch.filter(pa.array(batch.column(0).to_numpy() == slot))
+                held[slot].append((b.column(1).to_numpy(), b.column(2).to_numpy(), matrix(b.column(3))))
+        for slot in list(held):
+            names, weight, v = map(np.concatenate, zip(*held.pop(slot)))
+            order = np.argsort(names)
+            names, weight, unit = names[order], weight[order], _unit(v[order])
+            graph = Graph(unit)
+            found = links(graph, unit, least)
+            n_links = np.array([weight[got].sum() for got in found]) - 1
+            roots = names[_roots(len(names), found)]
+            parts = ((names, weight, roots, graph), (names, weight, unit), (names, n_links, roots))
+            yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), *[pa.array([pickle.dumps(x)], pa.binary()) for x in parts]], ["slot", "graph", "ask", "local"])
 
     return build
 
@@ -182,71 +195,88 @@ def _build(least: float):
 def _local(batches):
     for batch in batches:
         for x in batch.column(0):
-            ids, n, roots = pickle.loads(x.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n, pa.int64()), pa.array(roots)], ["rep", "n", "root"])
+            names, n, roots = pickle.loads(x.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n, pa.int64()), pa.array(roots)], ["name", "n", "root"])
 
 
 def _across(least: float):
+    """Rows (slot, kind, payload) in order, a slot's graph (kind 0) before the vectors of other shards that ask it -> counts and edges both ways."""
+
     def across(batches):
+        own = None
         for batch in batches:
-            for a, b in zip(batch.column(0), batch.column(1)):
-                ids, weight, roots, mine = pickle.loads(a.as_py())
-                ids2, weight2, roots2, other = pickle.loads(b.as_py())
-                found = links(other, mine.v, least)
-                back = np.zeros(len(ids2), np.int64)
-                rep, n, root = [], [], []
+            for kind, payload in zip(batch.column(1).to_pylist(), batch.column(2)):
+                if kind == 0:
+                    own = pickle.loads(payload.as_py())
+                    continue
+                names2, weight2, roots2, graph = own
+                names, weight, v = pickle.loads(payload.as_py())
+                found = links(graph, v, least)
+                back = np.zeros(len(names2), np.int64)
+                name, n, root = [], [], []
                 for k, got in enumerate(found):
                     if len(got):
                         back[got] += weight[k]
                         tops = np.unique(roots2[got])
-                        rep += [ids[k]] * len(tops)
+                        name += [names[k]] * len(tops)
                         n += [int(weight2[got].sum())] + [0] * (len(tops) - 1)
                         root += tops.tolist()
                 hit = np.flatnonzero(back)
-                rep, n, root = np.concatenate([np.array(rep, np.int64), ids2[hit]]), np.concatenate([np.array(n, np.int64), back[hit]]), np.concatenate([np.array(root, np.int64), ids2[hit]])
-                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(n), pa.array(root)], ["rep", "n", "root"])
+                name, n, root = np.concatenate([np.array(name, np.int64), names2[hit]]), np.concatenate([np.array(n, np.int64), back[hit]]), np.concatenate([np.array(root, np.int64), names2[hit]])
+                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(n), pa.array(root)], ["name", "n", "root"])
 
     return across
 
 
+def _keys() -> list:
+    """Two independent 64-bit hashes of a label and a vector: equal vectors are those equal in both; the first is also their name."""
+    return [F.xxhash64("label", "embedding").alias("name"), F.xxhash64("label", "embedding", F.lit(1)).alias("name2")]
+
+
 def near_vectors(vectors: DataFrame, least: float = SIMILAR, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors`` (vec_id, embedding, label).
 
     Vectors link if their labels are equal and their cosine is ``least`` or more. Equal vectors of a
     label collapse to one with a count. The distinct ones of each label and length are dealt by hash
     into shards of about ``shard_rows``; each shard's task builds a graph, searches it with its own
-    vectors and writes graph and local components as one row. Then every pair of shards of a label is
-    one row of work, in any task. A vector passes on one edge per local component it touches, never
-    its pairs, and its links are counted where they are found.
+    vectors and writes graph and local components as one row. Then every shard's graph is asked by the vectors of the
+    shards of its label before it; a graph moves once, to a partition of its own. A vector passes on one edge per
+    local component it touches, never its pairs, and its links are counted where they are found.
 
     Null labels and null, zero or empty vectors, or such with null or non-finite components, have no
-    links and are their own component; so do vectors of a length nobody else has. A repeated vec_id
-    is a vector of its own that shares the id. An empty table gives no rows.
+    links and are their own component; so do vectors of a length nobody else has. A repeated or null vec_id
+    is a vector of its own; the id of a component is its least vec_id, null if all are. Other columns are not read. An empty table
+    gives no rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding", "label")
     good = F.coalesce(F.col("label").isNotNull() & usable(F.col("embedding")) & nonzero(F.col("embedding")), F.lit(False))
-    fine = rows.where(good)
-    groups = written(
-        fine.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("embedding"))
-    )
-    counts = written(groups.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards")))
-    dealt = groups.join(counts, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int"))
-    label = groups.schema["label"].dataType.simpleString()
-    graphs = written(
-        dealt.select(*KEY, "rep", "copies", "embedding").groupBy(*KEY)
-        .applyInPandas(_build(least), f"label {label}, dim int, shard int, graph binary, local binary")
-    )
-    local = graphs.select("local").mapInArrow(_local, "rep long, n long, root long")
-    others = counts.where("shards > 1").select("label", "dim", "shards", F.explode(F.sequence(F.lit(0), F.col("shards") - 2)).alias("shard"))
-    others = others.select(*KEY, F.explode(F.sequence(F.col("shard") + 1, F.col("shards") - 1)).alias("other"))
-    mine = graphs.select(*KEY, "graph")
-    theirs = graphs.select("label", "dim", F.col("shard").alias("other"), F.col("graph").alias("graph2"))
-    pairs = others.join(mine, KEY).join(theirs, ["label", "dim", "other"]).select("graph", "graph2")
-    found = written(local.union(pairs.mapInArrow(_across(least), "rep long, n long, root long")))
-    roots = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    n = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    known = groups.join(n, "rep").join(roots, F.col("rep") == F.col("node"), "left")
-    known = known.select("label", "embedding", F.col("n").alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
-    linked = fine.join(known, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
-    alone = rows.where(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    with Tables() as tables:
+        fine = tables.written(rows.where(good).select("vec_id", "label", "embedding", *_keys()))
+        groups = tables.written(
+            fine.groupBy("name", "name2").agg(F.any_value("label").alias("label"), F.any_value("embedding").alias("embedding"), F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+            .withColumn("dim", F.size("embedding"))
+        )
+        counts = groups.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
+        # One row per label and length: where the numbers of its shards begin.
+        before = F.coalesce(F.sum("shards").over(Window.orderBy("label", "dim").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
+        counts = tables.written(counts.withColumn("start", before))
+        dealt = groups.join(few(counts), ["label", "dim"]).withColumn("slot", F.col("start") + F.pmod("name", F.col("shards")).cast("int"))
+        wide = max(1, min(counts.agg(F.sum("shards")).first()[0] or 0, WIDE))
+        dealt = dealt.select("slot", "name", "copies", F.col("embedding").cast("array<double>").alias("embedding")).repartitionById(wide, F.col("slot") % wide)
+        graphs = tables.written(dealt.mapInArrow(_build(least), "slot int, graph binary, ask binary, local binary"))
+        local = graphs.select("local").mapInArrow(_local, "name long, n long, root long")
+        slots = counts.where("shards > 1").select((F.col("start") + F.col("shards") - 1).alias("end"), F.explode(F.sequence("start", F.col("start") + F.col("shards") - 1)).alias("slot"))
+        several = graphs.join(few(tables.written(slots)), "slot")
+        asks = several.where("slot < end").select(F.explode(F.sequence(F.col("slot") + 1, F.col("end"))).alias("slot"), F.lit(1).alias("kind"), F.col("ask").alias("payload"))
+        both = several.select("slot", F.lit(0).alias("kind"), F.col("graph").alias("payload")).union(asks)
+        both = both.repartitionById(wide, F.col("slot") % wide).sortWithinPartitions("slot", "kind")
+        found = tables.written(local.union(both.mapInArrow(_across(least), "name long, n long, root long")))
+        roots = connected_components(found.select(F.col("name").alias("a"), F.col("root").alias("b")))
+        n = found.groupBy("name").agg(F.sum("n").alias("n_links"))
+        known = groups.select("name", "name2", "first").join(n, "name").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+        known = tables.written(known)
+        top = known.groupBy("root").agg(F.min("first").alias("component_id"))
+        known = known.join(top, "root").select("name", "name2", "n_links", "component_id")
+        linked = fine.select("vec_id", "name", "name2").join(known, ["name", "name2"]).select("vec_id", "n_links", "component_id")
+        alone = rows.where(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+        return written(linked.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id")))
