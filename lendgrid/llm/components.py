@@ -13,7 +13,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round hangs every larger neighbour on the least one (large star), then the smaller
     ones (small star); a hub costs one partially aggregated minimum and a join whose skewed
     side Spark can split, never one task's list. The edge table is rewritten to the shared
-    folder each round. Nulls and loops are dropped; no edges give no rows.
+    folder each round, the result is a written table. Nulls and loops are dropped; no edges give no rows.
     """
     e = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
@@ -33,7 +33,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if old == mark:
             break
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+    out = written(e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots))
+    discard(e)
+    return out
 
 
 def _mark(e: DataFrame) -> tuple:

@@ -271,7 +271,7 @@ def near_vectors(vectors: DataFrame, least: float = SIMILAR, shard_rows: int = S
         both = several.select("slot", F.lit(0).alias("kind"), F.col("graph").alias("payload")).union(asks)
         both = both.repartitionById(wide, F.col("slot") % wide).sortWithinPartitions("slot", "kind")
         found = tables.written(local.union(both.mapInArrow(_across(least), "name long, n long, root long")))
-        roots = connected_components(found.select(F.col("name").alias("a"), F.col("root").alias("b")))
+        roots = tables.keep(connected_components(found.select(F.col("name").alias("a"), F.col("root").alias("b"))))
         n = found.groupBy("name").agg(F.sum("n").alias("n_links"))
         known = groups.select("name", "name2", "first").join(n, "name").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
         known = tables.written(known)

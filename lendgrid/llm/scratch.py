@@ -52,6 +52,11 @@ class Tables:
         self.made.append(written(df))
         return self.made[-1]
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Take over a table that another operator has written."""
+        self.made.append(df)
+        return df
+
     def discard(self, df: DataFrame) -> None:
         self.made = [t for t in self.made if t is not df]
         discard(df)

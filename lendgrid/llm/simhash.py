@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import connected_components
-from .scratch import written
+from .scratch import Tables, written
 
 LOW = 0xFFFFFFFF
 CROWDED = 256
@@ -56,7 +56,7 @@ def _flips(x: Column, bits: int = 32) -> Column:
     return F.transform(F.filter(each, lambda i: x.bitwiseAND(one(i)) == 0), lambda i: x.bitwiseOR(one(i)))
 
 
-def fingerprint_links(fps: DataFrame) -> DataFrame:
+def fingerprint_links(fps: DataFrame, tables: Tables) -> DataFrame:
     """Pairs (a, b) that link all distinct fingerprints at 2 or fewer differing bits.
 
     Two errors over two segments: either one segment agrees, or both differ in one bit. So the
@@ -74,7 +74,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("seg"), lo.alias("key"), hi.alias("rest")),
     )).alias("t"), "fp").select("t.*", "fp")
     crowded = table.groupBy("seg", "key").count().where(F.col("count") > CROWDED).select("seg", "key", F.lit(True).alias("hot"))
-    marked = written(table.join(crowded, ["seg", "key"], "left"))
+    marked = tables.written(table.join(crowded, ["seg", "key"], "left"))
     cool, hot = marked.where("hot is null"), marked.where("hot")
     other = cool.select("seg", "key", F.col("fp").alias("fp2"))
     same = cool.join(other, ["seg", "key"]).where("fp < fp2").where(_distance("fp", "fp2") <= 2).select("fp", "fp2")
@@ -109,12 +109,13 @@ def simhash_components(docs: DataFrame, words: int = 3) -> DataFrame:
     empty texts share fingerprint 0 and link like any other; null doc_ids keep a row and never
     name a component that has another id; repeated rows stay; an empty table gives no rows.
     """
-    fps = written(fingerprints(docs, words))
-    roots = written(connected_components(fingerprint_links(fps)))
-    firsts = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    named = firsts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    with Tables() as tables:
+        fps = tables.written(fingerprints(docs, words))
+        roots = tables.keep(connected_components(fingerprint_links(fps, tables)))
+        firsts = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+        named = firsts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+        least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+        return written(fps.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id"))
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:
