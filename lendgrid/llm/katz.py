@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from .scratch import Tables, release, written
 
 CHUNK_TOKENS, CUT = 1_200_000, 5
+#: Bytes of text per bucket: a bucket is one task's work.
+BUCKET_BYTES = 8 << 20
 #: The corpus is read once a round, each for its share of the buckets: what is shuffled at once shrinks accordingly.
 ROUNDS = 2
 BEGIN, END = b"\n<s>", b"\n</s>"  # no word holds white space
@@ -40,9 +42,9 @@ def pack(*arrays: np.ndarray) -> bytes:
     return zstandard.compress(b"".join(out), 1)
 
 
-def unpack(raw: bytes) -> list[np.ndarray]:
+def unpack(raw: bytes, most: int = 99) -> list[np.ndarray]:
     raw, at, out = zstandard.decompress(raw), 0, []
-    while at < len(raw):
+    while at < len(raw) and len(out) < most:
         end = raw.index(b";", at)
         kind, n = np.dtype(raw[at : at + 3].decode()), int(raw[at + 3 : end])
         at = end + 1 + n * kind.itemsize
@@ -150,7 +152,7 @@ def _count(buckets: int):
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         bucket, rows = int(pdf["bucket"].iloc[0]), []
         u = [unpack(x) for x in pdf["payload"][pdf["kind"] == "u"]]
-        b = [unpack(x) for x in pdf["payload"][pdf["kind"] == "b"]]
+        b = [unpack(x, 4) for x in pdf["payload"][pdf["kind"] == "b"]]  # without documents
         tally = [np.zeros(CUT + 3, np.int64)] * 2
         if u:
             w, inverse = np.unique(np.concatenate([x[0] for x in u]), return_inverse=True)
@@ -275,8 +277,9 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     token is unknown with probability 1, and the base's N and V are 0. An empty table gives none.
     """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
+    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     name = f"lendgrid_grams_{uuid.uuid4().hex}"
     tables = Tables()
     try:
