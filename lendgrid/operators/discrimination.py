@@ -58,27 +58,40 @@ def auc_of_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return r.select(*keys, "n", "n_bad", auc.alias("auc"), (auc * 2 - 1).alias("gini"), F.greatest(F.col("ks"), F.lit(0.0)).alias("ks"))
 
 
-def ranked(long: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
-    """Adds r, the rank by descending score then id, and n, the number of records of the key.
+#: Records of equal score are ordered in blocks of so many consecutive ids.
+BLOCK = 1 << 16
+
 
-    The rank is that of the score's first record, from counts, plus the place among equal scores.
+def _ordered(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds r and bads, the number of records and of bad ones up to each record, by descending score then (integer) id, and n_all.
+
+    What comes before is summed in three levels: scores of a key and id blocks of a score, both from counts, and the
+    records of a block. So no window holds all records of a key, nor all of a score that many share.
     """
-    before = Window.partitionBy(*keys).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
-    c = score_counts(long, keys).select(*keys, "s", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"), F.sum("n").over(Window.partitionBy(*keys)).alias("n_all"))
-    place = F.row_number().over(Window.partitionBy(*keys, "s").orderBy("id"))
-    return long.withColumn("__place", place).join(c, [*keys, "s"]).withColumn("r", F.col("__before") + F.col("__place")).drop("__before", "__place")
+    d = long.withColumn("__block", F.floor(F.col("id") / BLOCK))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = lambda c, w: F.coalesce(F.sum(c).over(earlier(w)), F.lit(0))
+    blocks = d.groupBy(*keys, "s", "__block").agg(F.count("*").alias("n"), F.sum("y").alias("bad"))
+    scores = blocks.groupBy(*keys, "s").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    w = Window.partitionBy(*keys).orderBy(F.desc("s"))
+    scores = scores.select(*keys, "s", upto("n", w).alias("__n"), upto("bad", w).alias("__b"), F.sum("n").over(Window.partitionBy(*keys)).alias("n_all"))
+    w = Window.partitionBy(*keys, "s").orderBy("__block")
+    blocks = blocks.select(*keys, "s", "__block", upto("n", w).alias("__m"), upto("bad", w).alias("__c"))
+    own = Window.partitionBy(*keys, "s", "__block").orderBy("id")
+    d = d.withColumns({"__r": F.row_number().over(own), "__y": F.sum("y").over(own.rowsBetween(Window.unboundedPreceding, 0))})
+    d = d.join(blocks, [*keys, "s", "__block"]).join(scores, [*keys, "s"])
+    d = d.withColumns({"r": F.col("__n") + F.col("__m") + F.col("__r"), "bads": F.col("__b") + F.col("__c") + F.col("__y")})
+    return d.drop("__block", "__n", "__b", "__m", "__c", "__r", "__y")
 
 
-def cumulative_gains(long: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
-    """keys, id, r, bads: running number of bad records from the riskiest down, ties by id.
+def ranked(long: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """Adds r, the rank by descending score then id, and n_all, the number of records of the key."""
+    return _ordered(long, keys).drop("bads")
 
-    Like the rank, the number is that before the record's score plus a running sum among equal scores.
-    """
-    before = Window.partitionBy(*keys).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
-    c = score_counts(long, keys).select(*keys, "s", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__n"), F.coalesce(F.sum("bad").over(before), F.lit(0)).alias("__b"))
-    tie = Window.partitionBy(*keys, "s").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    d = long.withColumns({"__r": F.row_number().over(Window.partitionBy(*keys, "s").orderBy("id")), "__y": F.sum("y").over(tie)}).join(c, [*keys, "s"])
-    return d.select(*keys, "id", (F.col("__n") + F.col("__r")).alias("r"), (F.col("__b") + F.col("__y")).alias("bads"))
+
+def cumulative_gains(long: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """keys, id, r, bads: running number of bad records from the riskiest down, ties by id."""
+    return _ordered(long, keys).select(*keys, "id", "r", "bads")
 
 
 def rejection_capture(long: DataFrame, shares: Sequence[int] = (5, 10, 15, 20), keys: Sequence[str] = KEY) -> DataFrame:
