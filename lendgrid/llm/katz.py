@@ -23,7 +23,7 @@ from .scratch import Tables, release, written
 
 CHUNK_TOKENS, CUT = 1_200_000, 5
 #: Bytes of text per bucket: a bucket is one task's work.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 12 << 20
 #: The corpus is read once a round, each for its share of the buckets: what is shuffled at once shrinks accordingly.
 ROUNDS = 3
 BEGIN, END = b"\n<s>", b"\n</s>"  # no word holds white space
