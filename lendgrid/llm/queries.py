@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, hnsw, html_text, katz, langid, licences, lines, mixing, mtree, simhash
+from . import bpe, fim, hnsw, html_text, katz, langid, licences, lines, mixing, mtree, sharding, simhash, spelling
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -54,5 +54,17 @@ def op10_mix(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licences, op2_hnsw, op3_bpe, op4_html, op5_mtree, op6_language, op7_lines, op8_katz, op9_simhash, op10_mix)}
-SQL = {"op10_mix": mixing.MIX_SQL}
+def op11_shards(spark, sf_dir):
+    return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_fim(spark, sf_dir):
+    return fim.fim_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_licences, op2_hnsw, op3_bpe, op4_html, op5_mtree, op6_language, op7_lines, op8_katz, op9_simhash, op10_mix, op11_shards, op12_spelling, op13_fim)}
+SQL = {"op10_mix": mixing.MIX_SQL, "op13_fim": fim.FIM_SQL}
