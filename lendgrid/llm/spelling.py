@@ -15,7 +15,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Letters whose code points agree in their last four bits are a group; groups of frequent letters come first, so that shards named by the first counts are even.
 GROUPS = (5, 1, 4, 14, 9, 2, 3, 15, 12, 8, 13, 0, 7, 6, 11, 10)
 #: Levels of the trie that may name a shard, and words a shard of it at most; one with more is dealt in chunks.
-LEVELS, SHARD = 8, 1 << 13
+LEVELS, SHARD = 8, 1 << 15
 #: Pairs of a word and a subtree's word that are compared at once.
 PAIRS = 1 << 13
 #: A word names its form if it is so many times as frequent.
@@ -55,6 +55,13 @@ def vectors(words: list[str]) -> np.ndarray:
     return np.minimum(counts, 100).astype(np.int8)[:, list(GROUPS)]
 
 
+def ends(words: list[str]) -> np.ndarray:
+    """The first and last two, and the first and last three code points of each word as numbers; zeros in words under five, or seven, code points."""
+    pack = lambda part: sum(ord(c) << 21 * k for k, c in enumerate(part))
+    rows = [(pack(w[:2]), pack(w[-2:]), pack(w[:3]), pack(w[-3:])) if len(w) >= 7 else (pack(w[:2]), pack(w[-2:]), 0, 0) if len(w) >= 5 else (0, 0, 0, 0) for w in words]
+    return np.array(rows, dtype=np.int64).reshape(-1, 2, 2)
+
+
 def one_edit(a: str, b: str) -> bool:
     """Whether two different words differ by one inserted, deleted or replaced code point."""
     if len(a) > len(b):
@@ -76,22 +83,23 @@ class Trie:
         v = vectors(words)
         order = np.lexsort(v.T[::-1])
         self.words, self.v = [words[i] for i in order], v[order]
+        self.ends = ends(self.words)
 
     def near(self, words: list[str]):
         """(i, j) for each word i of ``words`` and word j of the trie that are one edit apart.
 
         Depth first, with all words that can still reach a node at once. A count above the node's spends a word's surplus, one below its deficit; there is one
-        of each to spend, as one edit adds to one group, takes from one, or both. Subtrees of few pairs are compared in all their remaining counts, and what
-        is left is verified letter by letter.
+        of each to spend, as one edit adds to one group, takes from one, or both. Subtrees of few pairs are compared in all their remaining counts. One edit
+        leaves the first or the last two letters of words of five or more, or three of seven or more, as they were; pairs for which that holds are verified letter by letter.
         """
-        v, n = vectors(words), np.arange(len(words))
+        v, n = (vectors(words), ends(words)), np.arange(len(words))
         stack = [(0, len(self.words), 0, n, np.ones(len(n), np.int8), np.ones(len(n), np.int8))] if len(n) and self.words else []
         while stack:
             lo, hi, depth, q, surplus, deficit = stack.pop()
             if depth == len(GROUPS) or (hi - lo) * len(q) <= PAIRS:
                 yield from self._verified(words, v, lo, hi, depth, q, surplus, deficit)
                 continue
-            column, own = self.v[lo:hi, depth], v[q, depth]
+            column, own = self.v[lo:hi, depth], v[0][q, depth]
             starts = np.concatenate(([0], np.flatnonzero(column[1:] != column[:-1]) + 1, [hi - lo]))
             for a, b in zip(starts[:-1], starts[1:], strict=True):
                 more = own - column[a]
@@ -104,10 +112,13 @@ class Trie:
         step = max(1, PAIRS // (hi - lo))
         for k in range(0, len(q), step):
             part = slice(k, k + step)
-            more = v[q[part], None, depth:] - self.v[None, lo:hi, depth:]
+            more = v[0][q[part], None, depth:] - self.v[None, lo:hi, depth:]
             fits = (np.maximum(more, 0).sum(-1) <= surplus[part, None]) & (np.maximum(-more, 0).sum(-1) <= deficit[part, None])
-            for x, y in zip(*np.nonzero(fits), strict=True):
-                i, j = q[k + x], lo + y
+            i, j = np.nonzero(fits)
+            i, j = q[k + i], lo + j
+            one, other = v[1][i], self.ends[j]
+            kept = ((one == other) | (one == 0) | (other == 0)).any(2).all(1)
+            for i, j in zip(i[kept].tolist(), j[kept].tolist(), strict=True):
                 a, b = words[i], self.words[j]
                 if a != b and one_edit(a, b):
                     yield i, j
