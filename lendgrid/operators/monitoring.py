@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import money_sum, quantile, risk_ratio
+from .quantiles import exact_quantiles
 
 
 def stress_factor(booked: DataFrame, score: str = "score_rf", fraction: float = 0.05, low_is_bad: bool = True, keys: Sequence[str] = (), approximate: bool = False) -> DataFrame:
     """Risk of the worst ``fraction`` by score over the risk of all; ``approximate`` takes the limit from a sketch."""
-    on = ["__all", *keys]
+    on, p = ["__all", *keys], fraction if low_is_bad else 1 - fraction
     b = booked.withColumn("__all", F.lit(1))
-    cut = b.groupBy(*on).agg(quantile(score, fraction if low_is_bad else 1 - fraction, approximate).alias("__cut"))
-    b = b.join(F.broadcast(cut), on)
+    cut = b.groupBy(*on).agg(quantile(score, p, True).alias("__cut")) if approximate else exact_quantiles(b, score, [p], on).select(*on, F.col("quantiles")[0].alias("__cut"))
+    b = b.join(cut, on)
     tail = F.col(score) <= F.col("__cut") if low_is_bad else F.col(score) >= F.col("__cut")
     part = lambda c: money_sum(F.when(tail, F.col(c)).otherwise(0.0))
     s = b.groupBy(*on).agg(part("todu_30ever_h6").alias("a"), part("todu_amt_pile_h6").alias("b"), money_sum("todu_30ever_h6").alias("c"), money_sum("todu_amt_pile_h6").alias("d"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.scalars import quantile
+from .quantiles import exact_quantiles
 
 ID_COLUMNS = ("authorization_id", "reject_reason")
 
@@ -53,17 +54,24 @@ def long_numbers(df: DataFrame, columns: Sequence[str], *keys: str) -> DataFrame
     return df.select(*keys, F.inline(pairs)).where("x IS NOT NULL")
 
 
+def _medians(long: DataFrame, column: str, approximate: bool) -> DataFrame:
+    """variable, median: a row for each of the columns that ``long`` was made of."""
+    if approximate:
+        return long.groupBy("variable").agg(quantile(column, 0.5, True).alias("median"))
+    return exact_quantiles(long, column, [0.5], ["variable"]).select("variable", F.col("quantiles")[0].alias("median"))
+
+
 def check_outliers(df: DataFrame, columns: Sequence[str], limit: float = 5.0, warn: float = 0.01, approximate: bool = False) -> DataFrame:
     """variable, n, n_outliers, share, status by the modified z score.
 
     The scale is the median absolute deviation, the mean one where that is 0; where both are 0 the
-    variable is skipped. All variables go through the same two medians, as one long table. Exact medians gather a variable's
-    distinct values in one task; ``approximate`` takes sketches, which are bounded.
+    variable is skipped. All variables go through the same two medians, as one long table. Exact medians refine histograms,
+    a pass each; ``approximate`` takes sketches, one pass for both.
     """
     x = long_numbers(df, columns)
-    mid = x.groupBy("variable").agg(quantile("x", 0.5, approximate).alias("mid"))
+    mid = _medians(x, "x", approximate).withColumnRenamed("median", "mid")
     dev = x.join(F.broadcast(mid), "variable").select("variable", F.abs(F.col("x") - F.col("mid")).alias("dev"))
-    scale = dev.groupBy("variable").agg(quantile("dev", 0.5, approximate).alias("mad"), F.avg("dev").alias("mean"))
+    scale = dev.groupBy("variable").agg(F.avg("dev").alias("mean")).join(_medians(dev, "dev", approximate).withColumnRenamed("median", "mad"), "variable")
     scale = scale.select("variable", F.when(F.col("mad") > 0, F.col("mad")).otherwise(F.col("mean")).alias("scale")).where("scale > 0")
     z = F.lit(0.6745) * F.col("dev") / F.col("scale")
     out = dev.join(F.broadcast(scale), "variable").groupBy("variable").agg(

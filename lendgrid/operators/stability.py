@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import severity, stability_status
 from .quality import long_numbers, numeric_columns
+from .quantiles import exact_quantiles
 
 LEAST = 1e-4
 
 
-def _shares(counts: DataFrame, clip: bool = True, by: Sequence[str] = ("variable",), e_total=None, a_total=None) -> DataFrame:
+def psi_shares(counts: DataFrame, clip: bool = True, by: Sequence[str] = ("variable",), e_total=None, a_total=None) -> DataFrame:
     """bin counts (expected, actual) -> shares without zeros that sum to 1, and the component of each bin."""
     w = Window.partitionBy(*by)
     e = F.col("expected") / (F.sum("expected").over(w) if e_total is None else e_total)
@@ -23,9 +24,12 @@ def _shares(counts: DataFrame, clip: bool = True, by: Sequence[str] = ("variable
     return c.withColumn("component", (F.col("comparison_pct") - F.col("baseline_pct")) * F.ln(F.col("comparison_pct") / F.col("baseline_pct")))
 
 
-def _quantiles(x: str, n: int, approximate: bool):
+def quantile_edges(df: DataFrame, column: str, n: int, keys: Sequence[str] = (), approximate: bool = False) -> DataFrame:
+    """keys, edges: the n + 1 quantiles of ``column`` that cut it into ``n`` equal parts."""
     p = [i / n for i in range(n + 1)]
-    return F.percentile_approx(x, p, 10000) if approximate else F.percentile(x, F.array(*[F.lit(v) for v in p]))
+    if approximate:
+        return df.groupBy(*keys).agg(F.percentile_approx(column, p, 10_000).alias("edges"))
+    return exact_quantiles(df, column, p, keys).withColumnRenamed("quantiles", "edges")
 
 
 def psi_bins(baseline: DataFrame, comparison: DataFrame, columns: Sequence[str], bins: int | Sequence[float] = 10, approximate: bool = False) -> DataFrame:
@@ -33,12 +37,12 @@ def psi_bins(baseline: DataFrame, comparison: DataFrame, columns: Sequence[str],
 
     ``bins``: a number of baseline quantiles, repeated ones dropped, or given edges; outer edges are
     infinite, bins are (a, b]. All variables go through one long table; a bin that neither period
-    fills doesn't exist here, as no record is in it. ``approximate`` takes quantiles by a sketch, for columns with
-    more distinct values than fit one task.
+    fills doesn't exist here, as no record is in it. Quantiles are exact, by refining histograms; ``approximate``
+    takes them from a sketch in one pass.
     """
     e, a = long_numbers(baseline, columns), long_numbers(comparison, columns)
     if isinstance(bins, int):
-        edges = e.groupBy("variable").agg(F.array_distinct(_quantiles("x", bins, approximate)).alias("edges"))
+        edges = quantile_edges(e, "x", bins, ["variable"], approximate).withColumn("edges", F.array_distinct("edges"))
     else:
         edges = e.select("variable").distinct().withColumn("edges", F.array(*[F.lit(float(v)) for v in bins]))
     inner = F.slice("edges", F.lit(2), F.greatest(F.size("edges") - 2, F.lit(0)))
@@ -47,7 +51,7 @@ def psi_bins(baseline: DataFrame, comparison: DataFrame, columns: Sequence[str],
     both = both.withColumn("bin", F.size(F.filter("inner", lambda v: v < F.col("x"))) + 1)
     n = both.groupBy("variable", "bin").agg(F.sum("e").alias("expected"), F.sum(1 - F.col("e")).alias("actual"))
     full = edges.select("variable", F.explode(F.sequence(F.lit(1), F.size("inner") + 1)).alias("bin"))
-    return _shares(full.join(n, ["variable", "bin"], "left").na.fill(0, ["expected", "actual"]))
+    return psi_shares(full.join(n, ["variable", "bin"], "left").na.fill(0, ["expected", "actual"]))
 
 
 def psi(baseline: DataFrame, comparison: DataFrame, columns: Sequence[str], bins: int | Sequence[float] = 10, approximate: bool = False) -> DataFrame:
@@ -65,7 +69,7 @@ def psi_by_period(df: DataFrame, column: str, reference: tuple[str, str], actual
     inside = lambda p: F.col(date).between(F.lit(p[0]).cast("date"), F.lit(p[1]).cast("date"))
     d = df.select(F.when(inside(reference), 1).otherwise(0).alias("e"), F.when(inside(actual), 1).otherwise(0).alias("a"), F.col(column).cast("double").alias("x"))
     d = d.where("e = 1 OR a = 1")
-    edges = d.where("e = 1").agg(_quantiles("x", buckets, approximate).alias("edges")) if breakpoints is None else d.sparkSession.createDataFrame([([float(b) for b in breakpoints],)], "edges array<double>")
+    edges = quantile_edges(d.where("e = 1"), "x", buckets, (), approximate) if breakpoints is None else d.sparkSession.createDataFrame([([float(b) for b in breakpoints],)], "edges array<double>")
     n = F.size("edges") - 1
     low = F.size(F.filter(F.slice("edges", F.lit(1), n), lambda v: v <= F.col("x")))
     bucket = F.when((F.col("x") >= F.col("edges")[0]) & (F.col("x") <= F.element_at("edges", -1)), low)
@@ -74,14 +78,14 @@ def psi_by_period(df: DataFrame, column: str, reference: tuple[str, str], actual
     c = d.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("e").alias("expected"), F.sum("a").alias("actual"))
     full = edges.select(F.posexplode(F.slice("edges", F.lit(2), n)).alias("i", "breakpoint")).select((F.col("i") + 1).alias("bucket"), "breakpoint")
     c = full.join(c, "bucket", "left").na.fill(0, ["expected", "actual"]).crossJoin(F.broadcast(totals)).withColumn("__all", F.lit(1))
-    return _shares(c, False, ["__all"], F.col("te"), F.col("ta")).drop("__all", "te", "ta")
+    return psi_shares(c, False, ["__all"], F.col("te"), F.col("ta")).drop("__all", "te", "ta")
 
 
 def csi(baseline: DataFrame, comparison: DataFrame, column: str) -> DataFrame:
     """category, shares, component, csi."""
     both = baseline.select(F.col(column).alias("category"), F.lit(1).alias("e")).union(comparison.select(F.col(column), F.lit(0)))
     n = both.where("category IS NOT NULL").groupBy("category").agg(F.sum("e").alias("expected"), F.sum(1 - F.col("e")).alias("actual")).withColumn("__all", F.lit(1))
-    c = _shares(n, by=["__all"])
+    c = psi_shares(n, by=["__all"])
     return c.select("category", "baseline_pct", "comparison_pct", "component", F.sum("component").over(Window.partitionBy("__all")).alias("csi"))
 
 

@@ -1,10 +1,11 @@
-"""Queries on models of every segment, and on the cells and frontiers that they give."""
+"""Queries on models of every segment, the cells and frontiers that they give, and monitoring from stored sketches."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cells as cl, cutoffs as cut, population as pop, segment_models as sm
+from ..operators import cells as cl, cutoffs as cut, population as pop, segment_models as sm, sketches as sk
+from ..sources.shared import new_path
 from .cuts import ORDER
 from .portfolio import rounded
 from .registry import COMMON_SQL, booked, demand, query
@@ -74,3 +75,43 @@ def cut4b(spark, d):
     grid = cl.complete_grid(segment_cells(spark, d), {"score_rf_bin": range(1, 5), "risk_score_rf_bin": range(1, 5)}, ["segment_cut_off"])
     targets = spark.createDataFrame([(t,) for t in TARGETS], "target double")
     return cut.frontier_by_target(cut.prefix_levels(grid, keys=["segment_cut_off"]), targets, ORDER, keys=["segment_cut_off"])
+
+
+VARIABLES = ["score_rf", "risk_score_rf", "oa_amt"]
+SKETCH_SQL = COMMON_SQL + """,
+xs AS (SELECT unnest(['score_rf', 'risk_score_rf', 'oa_amt']) AS variable, mis_date AS period, unnest([score_rf, risk_score_rf, oa_amt]) AS x FROM clean WHERE status_name = 'booked' AND mis_date BETWEEN DATE '1998-07-01' AND DATE '1999-12-01'),
+xe AS (SELECT variable, period, x, abs(x) AS a, floor(log2(nullif(abs(x), 0))) AS e0 FROM xs WHERE x IS NOT NULL),
+xf AS (SELECT variable, period, x, a, e0 + CASE WHEN a >= pow(2.0::DOUBLE, e0 + 1) THEN 1 ELSE 0 END - CASE WHEN a < pow(2.0::DOUBLE, e0) THEN 1 ELSE 0 END AS e FROM xe),
+xb AS (SELECT variable, period, x, CASE WHEN x = 0 THEN 0 ELSE sign(x)::BIGINT * ((e::BIGINT + 1100) * 1024 + least(floor((a / pow(2.0::DOUBLE, e) - 1) * 1024), 1023)::BIGINT + 1) END AS bin FROM xf),
+sk AS (SELECT variable, period, bin, count(*) AS n, min(x) AS lo, max(x) AS hi FROM xb GROUP BY 1, 2, 3),
+rf AS (SELECT *, sum(n) OVER (PARTITION BY variable ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY variable) AS total FROM (SELECT variable, bin, sum(n) AS n, min(lo) AS lo, max(hi) AS hi FROM sk WHERE period <= DATE '1999-06-01' GROUP BY 1, 2))"""
+
+
+def stored_sketches(spark, d):
+    """The reference year and each month after it are sketched on their own, as they would come in."""
+    path = new_path(spark, "sketches")
+    for period in (pop.MAIN, pop.RECENT):
+        sk.write_sketches(sk.sketch(booked(spark, d, period), VARIABLES), path)
+    return sk.read_sketches(spark, path)
+
+
+@query("psi3b_sketch_quantiles", "SELECT variable, p, min(hi) AS quantile FROM (SELECT variable, hi, cum, total, unnest([0.05, 0.5, 0.95])::DOUBLE AS p FROM rf) WHERE cum >= ceil(p * total) GROUP BY 1, 2", SKETCH_SQL)
+def psi3b(spark, d):
+    p = [0.05, 0.5, 0.95]
+    q = sk.sketch_quantiles(sk.merged(stored_sketches(spark, d).where(F.col("period") <= pop.MAIN[1])), p)
+    return q.select("variable", F.inline(F.arrays_zip(F.array(*map(F.lit, p)).alias("p"), F.col("quantiles").alias("quantile"))))
+
+
+@query("psi5b_sketch_monitor", """
+WITH ed AS (SELECT variable, i, min(bin) AS edge FROM rf, range(1, 10) r(i) WHERE cum * 10 >= i * total GROUP BY 1, 2),
+ds AS (SELECT variable, list_sort(list_distinct(list(edge))) AS edges FROM ed GROUP BY 1),
+ex AS (SELECT variable, len(list_filter(edges, lambda e: e < bin)) + 1 AS part, sum(n)::DOUBLE AS expected FROM rf JOIN ds USING (variable) GROUP BY 1, 2),
+ac AS (SELECT variable, period, len(list_filter(edges, lambda e: e < bin)) + 1 AS part, sum(n)::DOUBLE AS actual FROM sk JOIN ds USING (variable) WHERE period > DATE '1999-06-01' GROUP BY 1, 2, 3),
+fu AS (SELECT variable, period, unnest(range(1, len(edges) + 2)) AS part FROM ds JOIN (SELECT DISTINCT variable, period FROM ac) USING (variable)),
+ct AS (SELECT variable, period, coalesce(expected, 0) AS e, coalesce(actual, 0) AS a FROM fu LEFT JOIN ex USING (variable, part) LEFT JOIN ac USING (variable, period, part)),
+s1 AS (SELECT variable, period, greatest(e / sum(e) OVER w, 1e-4) AS e, greatest(a / sum(a) OVER w, 1e-4) AS a FROM ct WINDOW w AS (PARTITION BY variable, period)),
+s2 AS (SELECT variable, period, e / sum(e) OVER w AS e, a / sum(a) OVER w AS a FROM s1 WINDOW w AS (PARTITION BY variable, period)),
+s3 AS (SELECT variable, period, sum((a - e) * ln(a / e)) AS psi FROM s2 GROUP BY 1, 2)
+SELECT variable, period, round(psi, 6) AS psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'unstable' END AS status, CASE WHEN psi < 0.1 THEN 'info' WHEN psi < 0.25 THEN 'warning' ELSE 'critical' END AS severity FROM s3""", SKETCH_SQL)
+def psi5b(spark, d):
+    return rounded(sk.psi_from_sketches(stored_sketches(spark, d), pop.MAIN, pop.RECENT), 6)
