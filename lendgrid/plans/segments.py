@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cells as cl, cutoffs as cut, population as pop, segment_models as sm, sketches as sk
+from ..operators import cells as cl, cutoffs as cut, isotonic as iso, population as pop, segment_models as sm, sketches as sk
 from ..sources.shared import new_path
 from .cuts import ORDER
 from .portfolio import rounded
@@ -115,3 +115,17 @@ s3 AS (SELECT variable, period, sum((a - e) * ln(a / e)) AS psi FROM s2 GROUP BY
 SELECT variable, period, round(psi, 6) AS psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'unstable' END AS status, CASE WHEN psi < 0.1 THEN 'info' WHEN psi < 0.25 THEN 'warning' ELSE 'critical' END AS severity FROM s3""", SKETCH_SQL)
 def psi5b(spark, d):
     return rounded(sk.psi_from_sketches(stored_sketches(spark, d), pop.MAIN, pop.RECENT), 6)
+
+
+@query("ml5b_monotone_surface", """
+WITH so AS (SELECT row_number() OVER () AS id, [d, c, b, a] AS st FROM range(0, 5) w(a), range(0, 5) x(b), range(0, 5) y(c), range(0, 5) z(d) WHERE a >= b AND b >= c AND c >= d),
+gr AS (SELECT segment_cut_off, score_rf_bin AS x, risk_score_rf_bin AS z, 7.0::DOUBLE * todu_30ever_h6 AS a, todu_amt_pile_h6 AS w FROM sc WHERE todu_amt_pile_h6 > 0),
+pf AS (SELECT s.segment_cut_off, k AS x, l AS z, coalesce(sum(a), 0) AS a, coalesce(sum(w), 0) AS w FROM (SELECT DISTINCT segment_cut_off FROM gr) s CROSS JOIN range(1, 5) r(k) CROSS JOIN range(0, 5) q(l) LEFT JOIN gr ON gr.segment_cut_off = s.segment_cut_off AND gr.x = k AND gr.z <= l GROUP BY 1, 2, 3),
+pr AS (SELECT u.id AS u, l.id AS l, u.st AS us, l.st AS ls FROM so u, so l WHERE u.id <> l.id),
+bt AS (SELECT segment_cut_off, u, l, sum(hi.a - lo.a) / nullif(sum(hi.w - lo.w), 0) AS av FROM pr, range(1, 5) r(k) JOIN pf lo ON lo.x = k AND lo.z = us[k] JOIN pf hi USING (segment_cut_off) WHERE hi.x = k AND hi.z = ls[k] AND ls[k] > us[k] GROUP BY 1, 2, 3),
+mn AS (SELECT gr.segment_cut_off, gr.x, gr.z, pr.u, min(av) AS low FROM gr JOIN pr ON us[gr.x] < gr.z AND gr.z <= ls[gr.x] JOIN bt ON bt.segment_cut_off = gr.segment_cut_off AND bt.u = pr.u AND bt.l = pr.l GROUP BY 1, 2, 3, 4),
+mx AS (SELECT segment_cut_off, x, z, max(low) AS fitted FROM mn GROUP BY 1, 2, 3)
+SELECT segment_cut_off, x AS score_rf_bin, z AS risk_score_rf_bin, round(a / w, 6) AS ratio, round(fitted, 6) AS fitted FROM gr JOIN mx USING (segment_cut_off, x, z)""", SEGMENTS_SQL)
+def ml5b(spark, d):
+    c = cl.booked_cells(booked(spark, d), 1.0, ["segment_cut_off", *cl.CELL])
+    return rounded(iso.monotone_surface(c, ORDER, [1, 2, 3, 4], "todu_30ever_h6_boo", "todu_amt_pile_h6_boo", ["segment_cut_off"]), 6)
