@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import money_sum, risk_ratio
 from .cutoffs import V0, V1
-from .discrimination import poisson_weight
+from .resampling import resampled_sums
 
 
 def audit_records(demand: DataFrame, cuts: DataFrame, coefficient: float = 1.0, financing_rate: float = 1.0, v0: str = V0, v1: str = V1, low_is_safe: bool = True) -> DataFrame:
@@ -42,17 +42,15 @@ def audit_reconcile(summary: DataFrame, metrics: DataFrame, tolerance: float = 0
 def bootstrap_kpis(booked: DataFrame, cuts: DataFrame, replicates: int = 200, seed: str = "kpi", alpha: float = 0.05, model_se: float = 0.0, coefficient: float = 1.0, v0: str = V0, v1: str = V1, multiplier: float = 7.0) -> DataFrame:
     """Percentile intervals of production and risk of the accepted booked records.
 
-    Every record draws a Poisson weight per replicate; weighted sums are partial before they move. ``model_se``
+    Every record draws a Poisson weight per replicate and is read once for all of them. ``model_se``
     widens the risk interval by a model's own standard error.
     """
     ok = booked.join(F.broadcast(cuts.select(v0, "cut")), v0).where(F.col(v1) <= F.col("cut"))
-    # Amounts as whole ten-thousandths: sums are exact and, unlike those of decimals, cheap for every replicate.
-    whole = lambda c: (F.col(c).cast("decimal(20,4)") * 10_000).cast("long").alias(c)
-    d = ok.select("authorization_id", whole("oa_amt_h0"), whole("todu_30ever_h6"), whole("todu_amt_pile_h6"))
-    d = d.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("b"))
-    d = d.withColumn("w", poisson_weight(F.lit(seed), F.col("b"), F.col("authorization_id"))).where("w > 0")
-    part = lambda c: F.sum(F.col(c) * F.col("w")) / 10_000
-    s = d.groupBy("b").agg((part("oa_amt_h0") * F.lit(float(coefficient))).alias("production"), part("todu_30ever_h6").alias("a"), part("todu_amt_pile_h6").alias("t"))
+    # Amounts as whole ten-thousandths: sums are exact.
+    whole = [(F.col(c).cast("decimal(20,4)") * 10_000).cast("long").alias(c) for c in ("oa_amt_h0", "todu_30ever_h6", "todu_amt_pile_h6")]
+    s = resampled_sums(ok.select("authorization_id", *whole), "authorization_id", ["oa_amt_h0", "todu_30ever_h6", "todu_amt_pile_h6"], replicates, seed)
+    part = lambda c: F.col(c).cast("double") / 10_000
+    s = s.select((part("oa_amt_h0") * F.lit(float(coefficient))).alias("production"), part("todu_30ever_h6").alias("a"), part("todu_amt_pile_h6").alias("t"))
     s = s.withColumn("risk", risk_ratio(F.col("a"), F.col("t"), multiplier, True, None))
     q = lambda c, p: F.percentile(c, F.lit(p))
     r = s.agg(q("production", alpha / 2).alias("production_low"), q("production", 1 - alpha / 2).alias("production_high"), q("risk", alpha / 2).alias("lo"), q("risk", 1 - alpha / 2).alias("hi"))

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.scalars import hash_fraction, normal_two_sided_p
+from ..functions.scalars import normal_two_sided_p
+from .resampling import resampled_sums
 
 KEY = ("score_name",)
 
@@ -159,28 +160,15 @@ def delong(long: DataFrame, first: str, second: str, keys: Sequence[str] = ()) -
     return g.select(*keys, "auc_first", "auc_second", d.alias("difference"), se.alias("standard_error"), z.alias("z"), F.coalesce(normal_two_sided_p(z), F.lit(1.0)).alias("p_value"))
 
 
-#: Cumulative probabilities of a Poisson variable of mean 1 from 0 to 5.
-POISSON = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183]
-
-
-def poisson_weight(*parts: Column) -> Column:
-    """How often a record enters a resample: a Poisson draw of mean 1 from the hash of its parts."""
-    u = hash_fraction(*parts)
-    n = F.lit(0)
-    for p in POISSON:
-        n = n + F.when(u >= p, 1).otherwise(0)
-    return n
-
-
 def bootstrap_gini_ks(long: DataFrame, replicates: int = 100, seed: str = "boot", keys: Sequence[str] = KEY, alpha: float = 0.05) -> DataFrame:
     """Percentile intervals of Gini and KS over resamples; those with one class only are left out.
 
     Each record draws its own Poisson weight in every replicate, so resampling needs no row numbers and
-    no join; weights are summed per distinct score before anything is shuffled.
+    no join; a record is read once for all replicates and weights are summed per distinct score before anything is shuffled.
     """
-    d = long.select(*keys, "s", "y", "id", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("b"))
-    d = d.withColumn("w", poisson_weight(F.lit(seed), F.col("b"), F.col("id"))).where("w > 0")
-    c = d.groupBy(*keys, "b", "s").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("bad"))
+    d = long.select(*keys, "s", "id", F.lit(1).alias("n"), F.col("y").alias("bad"))
+    c = resampled_sums(d, "id", ["n", "bad"], replicates, seed, [*keys, "s"]).where("n > 0")
+    c = c.select(*keys, "b", "s", F.col("n").cast("long").alias("n"), F.col("bad").cast("long").alias("bad"))
     m = auc_of_counts(c, [*keys, "b"]).where("gini IS NOT NULL")
     q = lambda c_, p: F.percentile(c_, F.lit(p))
     return m.groupBy(*keys).agg(

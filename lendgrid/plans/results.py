@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit as au, cells as cl, consolidate as co, cutoffs as cut, population as pop, risk_models as rm
-from ..plans.scores import ALERTS_SQL, POISSON_SQL, REPORT_SQL
+from ..operators.resampling import weights_sql
+from ..plans.scores import ALERTS_SQL, REPORT_SQL
 from ..sources import applications as src
 from ..sources.shared import new_path
 from .cuts import FIXED_SQL, ORDER, fixed_cuts, frontier, solutions
@@ -51,7 +52,7 @@ def cut15(spark, d):
 
 @query("cut17_bootstrap_kpis", f"""
 WITH f AS ({FIXED_SQL}), k AS (SELECT authorization_id, oa_amt_h0, todu_30ever_h6, todu_amt_pile_h6 FROM booked JOIN f USING (score_rf_bin) WHERE risk_score_rf_bin <= cut),
-w AS (SELECT b, {POISSON_SQL} AS w, oa_amt_h0, todu_30ever_h6, todu_amt_pile_h6 FROM (SELECT *, ('0x' || substr(md5('kpi|' || b || '|' || authorization_id), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS u FROM k CROSS JOIN range(1, 1001) x(b))),
+w AS ({weights_sql("k", "kpi", "authorization_id", 1000, "oa_amt_h0, todu_30ever_h6, todu_amt_pile_h6")}),
 s AS (SELECT b, sum(oa_amt_h0::DECIMAL(20,4) * w)::DOUBLE AS p, 7.0::DOUBLE * sum(todu_30ever_h6::DECIMAL(20,4) * w)::DOUBLE / sum(todu_amt_pile_h6::DECIMAL(20,4) * w)::DOUBLE * 100 AS r FROM w WHERE w > 0 GROUP BY 1)
 SELECT round(quantile_cont(p, 0.025), 4) AS production_low, round(quantile_cont(p, 0.975), 4) AS production_high, round(quantile_cont(r, 0.025), 6) AS risk_low, round(quantile_cont(r, 0.975), 6) AS risk_high FROM s""")
 def cut17(spark, d):

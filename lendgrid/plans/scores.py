@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import discrimination as dis, population as pop, stability as st
+from ..operators.resampling import weights_sql
 from .portfolio import rounded
 from .registry import COMMON_SQL, booked, clean, query
 
@@ -74,9 +75,8 @@ def met6(spark, d):
     return rounded(dis.delong(long(spark, d), "score_rf", "risk_score_rf"), 8)
 
 
-POISSON_SQL = "(" + " + ".join(f"(u >= {p!r})::INT" for p in dis.POISSON) + ")"
 BOOT_SQL = LONG_SQL + f""",
-w AS (SELECT score_name, s, y, b, {POISSON_SQL} AS w FROM (SELECT *, ('0x' || substr(md5('boot|' || b || '|' || id), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS u FROM long CROSS JOIN range(1, 1001) x(b))),
+w AS ({weights_sql("long", "boot", "id", 1000, "score_name, s, y")}),
 bc AS (SELECT score_name, b, s, sum(w) AS n, sum(w * y) AS bad FROM w WHERE w > 0 GROUP BY 1, 2, 3),
 bw AS (SELECT *, coalesce(sum(n - bad) OVER (PARTITION BY score_name, b ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below, sum(bad) OVER (PARTITION BY score_name, b ORDER BY s DESC) AS cb, sum(n - bad) OVER (PARTITION BY score_name, b ORDER BY s DESC) AS cg, sum(bad) OVER (PARTITION BY score_name, b) AS tb, sum(n - bad) OVER (PARTITION BY score_name, b) AS tg FROM bc),
 bm AS (SELECT score_name, b, 2 * (sum(bad * (below + (n - bad) / 2.0))::DOUBLE / (max(tb) * max(tg))::DOUBLE) - 1 AS gini, greatest(max(cb::DOUBLE / tb - cg::DOUBLE / tg), 0) AS ks FROM bw GROUP BY 1, 2),
