@@ -184,7 +184,7 @@ def _build(least: float):
             names, weight, unit = names[order], weight[order], _unit(v[order])
             graph = Graph(unit)
             found = links(graph, unit, least)
-            n_links = np.array([weight[got].sum() for got in found]) - 1
+            n_links = weight - 1 + np.array([weight[got[got != k]].sum() for k, got in enumerate(found)])  # a beam may miss the vector itself
             roots = names[_roots(len(names), found)]
             parts = ((names, weight, roots, graph), (names, weight, unit), (names, n_links, roots))
             yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), *[pa.array([pickle.dumps(x)], pa.binary()) for x in parts]], ["slot", "graph", "ask", "local"])

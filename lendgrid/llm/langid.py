@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from collections import Counter, defaultdict
 
@@ -12,7 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .scratch import Tables, few, free_name
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Word characters that are neither letters nor decimal digits: fractions, superscripts, Roman and circled numerals.
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
 SAMPLE_PER_LANG, LONGEST, PENALTY = 1500, 5, 7.0
 UNKNOWN = "und"
 #: A document stays in the corpus from the first score on; from the second on a prediction may contradict its label.
