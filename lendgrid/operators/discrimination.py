@@ -207,3 +207,50 @@ def score_histogram(long: DataFrame, bins: int = 50, keys: Sequence[str] = KEY)
     h = long.join(F.broadcast(e), on).withColumn("bin", F.when(width > 0, F.least(F.floor((F.col("s") - F.col("lo")) / F.when(width > 0, width)) + 1, F.lit(bins))).otherwise(1).cast("int"))
     h = h.groupBy(*on, "bin").agg(F.count("*").alias("n"), F.first("total").alias("total"), F.first(width).alias("width"))
     return h.select(*on, "bin", "n", (F.col("n") / F.col("total") / F.when(F.col("width") > 0, F.col("width"))).alias("density"))
+
+
+def delong_matrix(df: DataFrame, scores: Mapping[str, bool], target: str, keys: Sequence[str] = ()) -> DataFrame:
+    """keys, first, second, auc_first, auc_second, covariance, difference, standard_error, z, p_value of every pair of ``scores``, each with itself too.
+
+    ``scores``: name -> whether low values are risky. Records in which all scores are known are counted per distinct tuple of scores and class, once for all pairs; placement
+    values come from midranks over these counts, and a class's covariances are sums of their products. ``covariance`` is that of the two AUCs. Keys with one class
+    only get nulls. One record of a class leaves the covariance open: null.
+    """
+    names = list(scores)
+    values = [(-F.col(n) if low else F.col(n)).cast("double") for n, low in scores.items()]
+    d = df.where(F.col(target).isNotNull()).select(*keys, F.lit(1).alias("__one"), F.col(target).cast("int").alias("y"), F.array(*values).alias("s"))
+    d = d.where(~F.exists("s", lambda x: x.isNull()))
+    on = [*keys, "__one"]
+    t = d.groupBy(*on, "y", "s").agg(F.count("*").alias("c"))
+    each = t.select(*on, "y", F.col("s").alias("tuple"), "c", F.posexplode("s").alias("i", "s"))
+    counts = each.groupBy(*on, "i", "s").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("y")).alias("bad"))
+    below = Window.partitionBy(*on, "i").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    all_ = Window.partitionBy(*on, "i")
+    good = F.col("n") - F.col("bad")
+    before = lambda c: F.coalesce(F.sum(c).over(below), F.lit(0))
+    # A bad record beats the good below it, a good one loses to the bad above it; ties count half.
+    places = counts.select(
+        *on, "i", "s", ((before(good) + good / 2) / F.nullif(F.sum(good).over(all_), F.lit(0))).alias("v1"),
+        ((F.sum("bad").over(all_) - before(F.col("bad")) - F.col("bad") / 2) / F.nullif(F.sum("bad").over(all_), F.lit(0))).alias("v0"),
+    )
+    v = each.join(places, [*on, "i", "s"]).select(*on, "y", "tuple", "c", "i", F.when(F.col("y") == 1, F.col("v1")).otherwise(F.col("v0")).alias("v"))
+    wide = v.groupBy(*on, "y", "tuple", "c").pivot("i", list(range(len(names)))).agg(F.first("v"))
+    x = [F.col(str(i)) for i in range(len(names))]
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    moments = wide.groupBy(*on, "y").agg(
+        F.sum("c").alias("n"), *[(F.sum(F.col("c") * x[i]) / F.sum("c")).alias(f"m{i}") for i in range(len(names))],
+        *[(F.sum(F.col("c") * x[i] * x[j]) / F.sum("c")).alias(f"p{i}_{j}") for i, j in pairs],
+    )
+    # A class's share of the covariance: that of its sample, n / (n - 1) times the mean product about the means, over n.
+    part = lambda i, j: F.when(F.col("n") > 1, (F.col(f"p{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}")) / (F.col("n") - 1))
+    of = lambda y, c: F.max(F.when(F.col("y") == y, c))
+    one = moments.groupBy(*on).agg(*[of(1, F.col(f"m{i}")).alias(f"auc{i}") for i in range(len(names))], *[(of(1, part(i, j)) + of(0, part(i, j))).alias(f"c{i}_{j}") for i, j in pairs])
+    rows = []
+    for i, j in pairs:
+        diff = F.col(f"auc{i}") - F.col(f"auc{j}")
+        var = F.col(f"c{i}_{i}") + F.col(f"c{j}_{j}") - 2 * F.col(f"c{i}_{j}")
+        var = F.when(F.abs(var) > 1e-15, var).otherwise(var * 0)
+        rows.append(F.struct(F.lit(names[i]).alias("first"), F.lit(names[j]).alias("second"), F.col(f"auc{i}").alias("auc_first"), F.col(f"auc{j}").alias("auc_second"), F.col(f"c{i}_{j}").alias("covariance"), diff.alias("difference"), F.sqrt(var).alias("standard_error")))
+    out = one.select(*keys, F.inline(F.array(*rows)))
+    z = F.col("difference") / F.when(F.col("standard_error") > 0, F.col("standard_error"))
+    return out.withColumn("z", z).withColumn("p_value", F.coalesce(normal_two_sided_p(F.col("z")), F.when(F.col("standard_error").isNotNull(), F.lit(1.0))))

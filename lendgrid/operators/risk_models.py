@@ -16,6 +16,8 @@ from ..functions.scalars import bin_right_closed, hash_fraction, money_sum, risk
 from ..sources.shared import written
 from .cells import CELL
 from .population import poly_features
+from .quality import long_numbers
+from .quantiles import value_bin
 
 _X, _Y = CELL
 _BASE = [_Y, _X, f"{_X}_x_{_Y}"]
@@ -266,6 +268,30 @@ def supervised_bins(df: DataFrame, x: str, y: str, leaves: int = 5, least_leaf:
     return edges
 
 
+def supervised_bins_of(df: DataFrame, columns: Sequence[str], y: str, leaves: int = 5, least_leaf: int = 500) -> DataFrame:
+    """variable, edges: inner edges of at most ``leaves`` bins of each column, all columns at once, split as ``supervised_bins`` does.
+
+    Records are read once, into a histogram of each column on the fixed grid of ``quantiles.value_bin``; each of the ``leaves`` - 1 rounds is one job over the histograms
+    that splits the best leaf of every variable. Splits lie between bins of the grid, so they are those of the values themselves where these have
+    up to ten significant bits, and within a thousandth of them otherwise. Columns without a split have an empty list.
+    """
+    target = F.col(y).cast("long").alias("__y")
+    x = long_numbers(df.where(F.col(y).isNotNull()).select(target, *columns), columns, "__y").where("NOT isnan(x)")
+    hist = written(x.groupBy("variable", value_bin(F.col("x")).alias("bin")).agg(F.count("*").alias("n"), F.sum("__y").alias("bad"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+    edges = df.sparkSession.createDataFrame([(c, []) for c in columns], "variable string, edges array<double>")
+    for _ in range(leaves - 1):
+        c = hist.join(edges, "variable").withColumn("leaf", F.size(F.filter("edges", lambda e: e < F.col("lo"))))
+        up, whole = Window.partitionBy("variable", "leaf").orderBy("bin"), Window.partitionBy("variable", "leaf")  # rows are bins
+        c = c.select("variable", "hi", F.lead("lo").over(up).alias("next"), *[F.sum(v).over(up).alias(f"{v}_l") for v in ("n", "bad")], *[F.sum(v).over(whole).alias(f"{v}_t") for v in ("n", "bad")])
+        c = c.withColumns({"n_r": F.col("n_t") - F.col("n_l"), "bad_r": F.col("bad_t") - F.col("bad_l")}).where(f"next IS NOT NULL AND n_l >= {int(least_leaf)} AND n_r >= {int(least_leaf)}")
+        rest = lambda s: F.col(f"bad_{s}") - F.col(f"bad_{s}").cast("double") * F.col(f"bad_{s}") / F.col(f"n_{s}")
+        split = F.struct(F.round(rest("t") - rest("l") - rest("r"), 9).alias("gain"), (-(F.col("hi") + F.col("next")) / 2).alias("minus"))
+        best = c.select("variable", split.alias("split")).where("split.gain > 0").groupBy("variable").agg(F.max("split").alias("split"))
+        grown = F.when(F.col("split").isNull(), F.col("edges")).otherwise(F.array_sort(F.concat("edges", F.array(-F.col("split.minus")))))
+        edges = written(edges.join(best, "variable", "left").select("variable", grown.alias("edges")))
+    return edges
+
+
 def combined_score(df: DataFrame, columns: Sequence[str], y: str) -> DataFrame:
     """Standardise, fit a logistic regression and return the linear score beside the columns."""
     n = df.count()

@@ -75,6 +75,25 @@ def met6(spark, d):
     return rounded(dis.delong(long(spark, d), "score_rf", "risk_score_rf"), 8)
 
 
+THREE = {"score_rf": True, "risk_score_rf": False, "oa_amt": False}
+
+
+@query("met6b_delong_matrix", """
+WITH l AS (SELECT segment_cut_off AS g, authorization_id AS id, early_bad AS y, unnest([0, 1, 2]) AS i, unnest([-score_rf, risk_score_rf, oa_amt]) AS s FROM booked),
+r AS (SELECT *, rank() OVER (PARTITION BY g, i ORDER BY s) + (count(*) OVER (PARTITION BY g, i, s) - 1) / 2.0 AS ra, rank() OVER (PARTITION BY g, i, y ORDER BY s) + (count(*) OVER (PARTITION BY g, i, y, s) - 1) / 2.0 AS rc,
+      sum(y) OVER (PARTITION BY g, i) AS m, sum(1 - y) OVER (PARTITION BY g, i) AS k FROM l),
+v AS (SELECT g, id, y, i, m, k, CASE WHEN y = 1 THEN (ra - rc)::DOUBLE / k ELSE 1 - (ra - rc)::DOUBLE / m END AS v FROM r),
+c AS (SELECT a.g, a.i, b.i AS j, avg(a.v) FILTER (a.y = 1) AS auc_first, avg(b.v) FILTER (a.y = 1) AS auc_second, covar_samp(a.v, b.v) FILTER (a.y = 1) / max(a.m) + covar_samp(a.v, b.v) FILTER (a.y = 0) / max(a.k) AS cov,
+      CASE WHEN a.i = b.i THEN 0.0 ELSE var_samp(a.v - b.v) FILTER (a.y = 1) / max(a.m) + var_samp(a.v - b.v) FILTER (a.y = 0) / max(a.k) END AS var FROM v a JOIN v b ON a.g = b.g AND a.id = b.id AND a.i <= b.i GROUP BY 1, 2, 3),
+z AS (SELECT *, (auc_first - auc_second) / sqrt(nullif(var, 0)) AS z FROM c),
+t AS (SELECT *, 1.0 / (1.0 + 0.3275911 * abs(z) / sqrt(2.0)) AS t FROM z)
+SELECT g AS segment_cut_off, ['score_rf', 'risk_score_rf', 'oa_amt'][i + 1] AS first, ['score_rf', 'risk_score_rf', 'oa_amt'][j + 1] AS second, round(auc_first, 8) AS auc_first, round(auc_second, 8) AS auc_second, round(cov, 8) AS covariance,
+ round(auc_first - auc_second, 8) AS difference, round(sqrt(var), 8) AS standard_error, round(z, 6) AS z, coalesce(round(t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * exp(-z * z / 2), 8), 1.0) AS p_value FROM t""")
+def met6b(spark, d):
+    m = dis.delong_matrix(booked(spark, d), THREE, "early_bad", ["segment_cut_off"])
+    return m.select(*[F.round(c, 6 if c == "z" else 8).alias(c) if t == "double" else F.col(c) for c, t in m.dtypes])
+
+
 BOOT_SQL = LONG_SQL + f""",
 w AS ({weights_sql("long", "boot", "id", 1000, "score_name, s, y")}),
 bc AS (SELECT score_name, b, s, sum(w) AS n, sum(w * y) AS bad FROM w WHERE w > 0 GROUP BY 1, 2, 3),

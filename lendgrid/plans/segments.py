@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cells as cl, cutoffs as cut, isotonic as iso, population as pop, segment_models as sm, sketches as sk
+from ..operators import cells as cl, cutoffs as cut, isotonic as iso, population as pop, risk_models as rm, segment_models as sm, sketches as sk
 from ..sources.shared import new_path
 from .cuts import ORDER
 from .portfolio import rounded
-from .registry import COMMON_SQL, booked, demand, query
+from .registry import COMMON_SQL, booked, clean, demand, query
 from .results import least_squares_sql
 
 FEATURES = list(cl.CELL)
@@ -129,3 +129,24 @@ SELECT segment_cut_off, x AS score_rf_bin, z AS risk_score_rf_bin, round(a / w,
 def ml5b(spark, d):
     c = cl.booked_cells(booked(spark, d), 1.0, ["segment_cut_off", *cl.CELL])
     return rounded(iso.monotone_surface(c, ORDER, [1, 2, 3, 4], "todu_30ever_h6_boo", "todu_amt_pile_h6_boo", ["segment_cut_off"]), 6)
+
+
+BINNED = ["score_rf", "risk_score_rf", "early_amount"]
+
+
+def _splits_sql(rounds: int, least: int) -> str:
+    """Best-first splits of all variables; values have few bits, so each is a bin of its own."""
+    parts = ["""WITH xv AS (SELECT unnest(['score_rf', 'risk_score_rf', 'early_amount']) AS variable, unnest([score_rf, risk_score_rf, floor(oa_amt / 1000)]) AS x, early_bad AS y FROM clean),
+hs AS (SELECT variable, x, count(*) AS n, sum(y) AS bad FROM xv WHERE x IS NOT NULL GROUP BY 1, 2), e0 AS (SELECT NULL::VARCHAR AS variable, NULL::DOUBLE AS edge WHERE FALSE)"""]
+    for r in range(rounds):
+        parts.append(f"""l{r} AS (SELECT hs.*, (SELECT count(*) FROM e{r} WHERE e{r}.variable = hs.variable AND edge < x) AS leaf FROM hs),
+c{r} AS (SELECT variable, x, lead(x) OVER w AS nx, sum(n) OVER w AS nl, sum(bad) OVER w AS bl, sum(n) OVER g AS nt, sum(bad) OVER g AS bt FROM l{r} WINDOW w AS (PARTITION BY variable, leaf ORDER BY x), g AS (PARTITION BY variable, leaf)),
+g{r} AS (SELECT variable, (x + nx) / 2 AS edge, round((bt - bt::DOUBLE * bt / nt) - (bl - bl::DOUBLE * bl / nl) - ((bt - bl) - (bt - bl)::DOUBLE * (bt - bl) / (nt - nl)), 9) AS gain FROM c{r} WHERE nx IS NOT NULL AND nl >= {least} AND nt - nl >= {least}),
+e{r + 1} AS (SELECT * FROM e{r} UNION ALL SELECT variable, edge FROM (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY gain DESC, edge) AS k FROM g{r} WHERE gain > 0) WHERE k = 1)""")
+    return ",\n".join(parts) + f"\nSELECT variable, edge FROM e{rounds}"
+
+
+@query("ml12b_supervised_bins_of", _splits_sql(4, 200))
+def ml12b(spark, d):
+    c = clean(spark, d).withColumn("early_amount", F.floor(F.col("oa_amt") / 1000).cast("double"))
+    return rm.supervised_bins_of(c, BINNED, "early_bad", 5, 200).select("variable", F.explode("edges").alias("edge"))
