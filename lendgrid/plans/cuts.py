@@ -270,6 +270,11 @@ def cut18(spark, d):
     return al.allocate_exact(segment_frontiers(spark, d), 11.0, SEGMENTS)
 
 
+@query("cut18b_allocate_tree", EXACT_SQL + " SELECT sf.* FROM sf JOIN chosen USING (segment_cut_off, solution)", SEG_SQL)
+def cut18b(spark, d):
+    return al.allocate_tree(segment_frontiers(spark, d), 11.0)
+
+
 RANKED_SQL = """
 WITH f AS (SELECT *, row_number() OVER w AS k, oa_amt_h0 - coalesce(lag(oa_amt_h0) OVER w, 0) AS dp, oa_amt_h0 * risk - coalesce(lag(oa_amt_h0 * risk) OVER w, 0) AS dm FROM sf WINDOW w AS (PARTITION BY segment_cut_off ORDER BY risk, solution)),
 h AS (SELECT *, round(dm - dp * 11.0::DOUBLE, 4)::DECIMAL(20,4) AS ds, CASE WHEN k > 1 THEN dp / CASE WHEN dm > 0 THEN dm END END AS e0 FROM f),
