@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -53,6 +54,27 @@ def assign_segments(df: DataFrame, supersegments: Mapping[str, Sequence[str]] =
     return own.unionByName(above)
 
 
+def match_patterns(df: DataFrame, patterns: Sequence[str], column: str = "segment_cut_off") -> DataFrame:
+    """Each row once per pattern that its ``column`` matches from the start, with ``pattern`` added. Nulls match nothing.
+
+    Alternatives without special characters are prefixes: they meet the column's distinct values, cut to the prefixes' lengths, in an equi join. Only other expressions are tried
+    one by one, on distinct values as well; records then join what their value matches.
+    """
+    parts = [(p, p.split("|")) for p in dict.fromkeys(patterns)]
+    plain = {p: all(re.fullmatch(r"[\w \-]*", a) for a in alts) for p, alts in parts}
+    spark, value = df.sparkSession, F.col(column)
+    values = df.select(column).where(value.isNotNull()).distinct()
+    keys = [(p, a) for p, alts in parts if plain[p] for a in alts]
+    prefixes = spark.createDataFrame(keys or [(None, None)], "pattern string, __prefix string")
+    cut = F.array(*[F.when(F.length(value) >= n, F.substring(value, 1, n)) for n in sorted({len(a) for _, a in keys})] or [F.lit(None).cast("string")])
+    hits = values.select(column, F.explode(cut).alias("__prefix")).join(prefixes, "__prefix").select(column, "pattern").distinct()
+    others = [(p,) for p, _ in parts if not plain[p]]
+    if others:
+        tried = values.crossJoin(F.broadcast(spark.createDataFrame(others, "pattern string")))
+        hits = hits.unionByName(tried.where(F.rlike(value, F.concat(F.lit("^(?:"), F.col("pattern"), F.lit(")")))))
+    return df.join(hits, column).select(*df.columns, "pattern")
+
+
 def prune_columns(df: DataFrame, keep: Sequence[str], prefix: str = "m_ct_direct") -> DataFrame:
     return df.select(*[c for c in df.columns if c in keep or c.startswith(prefix)])
 

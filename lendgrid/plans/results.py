@@ -165,9 +165,7 @@ def jn6(spark, d):
 
 @query("jn8_segment_patterns", "SELECT authorization_id, p AS pattern FROM clean JOIN (SELECT unnest(['mach', 'auto', 'buil']) AS p) ON starts_with(segment_cut_off, p)")
 def jn8(spark, d):
-    p = spark.createDataFrame([("mach",), ("auto",), ("buil",)], "pattern string")
-    c = clean(spark, d)
-    return c.join(F.broadcast(p), F.expr("segment_cut_off RLIKE concat('^(?:', pattern, ')')")).select("authorization_id", "pattern")
+    return pop.match_patterns(clean(spark, d), ["mach", "auto", "buil"]).select("authorization_id", "pattern")
 
 
 def _folder(spark):

@@ -35,8 +35,9 @@ def ingest(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.Struc
 
 
 def write_results(df: DataFrame, base: str, name: str, fmt: str = "parquet", keys=("segment", "scenario", "period")) -> None:
-    """Write a result table partitioned by those of ``keys`` that it has."""
-    df.write.mode("overwrite").format(fmt).partitionBy(*[k for k in keys if k in df.columns]).save(f"{base}/{name}")
+    """Write a result table partitioned by those of ``keys`` that it has: their combinations in ``df`` are replaced, all others stay. Without keys the table is replaced."""
+    w, by = df.write.mode("overwrite").format(fmt), [k for k in keys if k in df.columns]
+    (w.option("partitionOverwriteMode", "dynamic").partitionBy(*by) if by else w).save(f"{base}/{name}")
 
 
 def read_results(spark: SparkSession, base: str, name: str, fmt: str = "parquet") -> DataFrame:
