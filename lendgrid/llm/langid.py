@@ -14,14 +14,20 @@ from pyspark.sql import DataFrame, functions as F
 from .scratch import Tables, few, free_name
 
 #: Word characters that are neither letters nor decimal digits: fractions, superscripts, Roman and circled numerals.
-NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
+NUMERALS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+BLANKED = {ord(c): " " for c in NUMERALS}
+LETTERS = re.compile(r"[^\W\d_]+")
 SAMPLE_PER_LANG, LONGEST, PENALTY = 1500, 5, 7.0
 UNKNOWN = "und"
 #: A document stays in the corpus from the first score on; from the second on a prediction may contradict its label.
 LEAST, SURE = 0.5, 0.9
 
 
+def lettered(text: str) -> str:
+    """``text`` with spaces for numerals, so that ``LETTERS`` finds letters alone."""
+    return text if text.isascii() or NUMERALS.isdisjoint(text) else text.translate(BLANKED)
+
+
 def sample_labelled(docs: DataFrame, tables: Tables, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
     """lang, text of about ``per_lang`` documents a language, all if there are fewer.
 
@@ -47,7 +53,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
         for batch in batches:
             seen: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                seen[lang].update(LETTERS.findall(text.as_py().lower()))
+                seen[lang].update(LETTERS.findall(lettered(text.as_py().lower())))
             rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*rows)) or [(), (), ()], (pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
 
@@ -99,7 +105,7 @@ class Model:
         return cost
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(LETTERS.findall((text or "").lower()))
+        words = Counter(LETTERS.findall(lettered((text or "").lower())))
         if not words or not self.langs:
             return UNKNOWN, 0.0
         get, known, times, total, seen = self.index[0].get, [], [], np.zeros(len(self.langs)), 0
@@ -156,7 +162,7 @@ def accepts(model: Model, text: str | None, label: str | None, least: float = LE
     was never learnt is not contradicted. A model without languages accepts every text with a letter.
     """
     if not model.langs:
-        return LETTERS.search(text or "") is not None
+        return LETTERS.search(lettered(text or "")) is not None
     lang, score = model.predict(text)
     return lang != UNKNOWN and score >= least and not (label != lang and score >= sure and label in model.langs)
 
