@@ -14,6 +14,8 @@ from ..sources.shared import written
 
 #: Bins of a power of two in the first pass, and bins of an open range in those that follow.
 PER_BINADE, BINS = 1 << 10, 1 << 12
+#: Values of an open range that are put in order in a task, once no range holds more.
+HELD = 1 << 16
 
 
 def value_bin(x: Column) -> Column:
@@ -37,18 +39,19 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
 
 
 def _located(hist: DataFrame, within: Sequence[str], keys: Sequence[str], ranks: Column, base: Column) -> DataFrame:
-    """keys, n, rank, base, lo, hi: the bin of each wanted rank; ``base`` is how many values stand below the histogram."""
+    """keys, n, rank, base, lo, hi, c: the bin of each wanted rank and its count; ``base`` is how many values stand below the histogram."""
     w = Window.partitionBy(*within).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # a row a bin
     h = hist.withColumn("below", base + F.coalesce(F.sum("c").over(w), F.lit(0)))
     mine = F.filter(ranks, lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("c")))
-    return h.select(*keys, "n", F.explode(F.array_distinct(mine)).alias("rank"), F.col("below").alias("base"), "lo", "hi")
+    return h.select(*keys, "n", F.explode(F.array_distinct(mine)).alias("rank"), F.col("below").alias("base"), "lo", "hi", "c")
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """keys, quantiles: the exact quantiles of ``column``, in the order of ``probabilities``, by interpolation between neighbours.
 
     Nulls and NaN take no part; a key without values has no row. The number of passes depends on how close the values around a quantile lie, not on how
-    many there are: one for values that differ in their first three digits, six at most for any doubles. ``df`` is read once a pass.
+    many there are: one for values that differ in their first three digits, six at most for any doubles, and the next is the last once every open range holds ``HELD`` values or fewer, as
+    these are then ordered where they are. ``df`` is read once a pass.
     """
     probabilities = [float(p) for p in probabilities]
     on = [*keys, "__every"]
@@ -58,14 +61,19 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
     low = [F.floor(F.lit(p) * (F.col("n") - 1)) for p in probabilities]
     wanted = F.array(*low, *[F.least(r + 1, F.col("n") - 1) for r in low])
     state = written(_located(hist, on, on, wanted, F.lit(0).cast("long")))
-    while not (still := state.where("lo < hi")).isEmpty():
+    while (largest := (still := state.where("lo < hi")).agg(F.max("c")).first()[0]) is not None:
         ranges = still.groupBy(*on).agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))  # at most two a probability
         near = F.explode(F.filter("ranges", lambda r: (F.col("x") >= r["lo"]) & (F.col("x") <= r["hi"])))
         inside = _same(d, ranges, on).select(*on, "x", near.alias("range"))
-        share = (F.col("x") - F.col("range.lo")) / (F.col("range.hi") - F.col("range.lo"))
-        bins = inside.groupBy(*on, "range", F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin")).agg(*count)
         asked = still.groupBy(*on, F.struct("lo", "hi").alias("range")).agg(F.collect_set("rank").alias("ranks"), F.first("base").alias("base"), F.first("n").alias("n"))
-        finer = _located(_same(bins, asked, [*on, "range"]), [*on, "range"], on, F.col("ranks"), F.col("base"))
+        if largest <= HELD:
+            place = F.col("base") + F.row_number().over(Window.partitionBy(*on, "range").orderBy("x")) - 1
+            placed = _same(inside, asked, [*on, "range"]).withColumn("rank", place).where(F.array_contains("ranks", F.col("rank")))
+            finer = placed.select(*on, "n", "rank", "base", F.col("x").alias("lo"), F.col("x").alias("hi"), F.lit(1).cast("long").alias("c"))
+        else:
+            share = (F.col("x") - F.col("range.lo")) / (F.col("range.hi") - F.col("range.lo"))
+            bins = inside.groupBy(*on, "range", F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin")).agg(*count)
+            finer = _located(_same(bins, asked, [*on, "range"]), [*on, "range"], on, F.col("ranks"), F.col("base"))
         state = written(state.where("lo = hi").unionByName(finer))
     at = state.groupBy(*on).agg(F.map_from_entries(F.collect_set(F.struct("rank", "lo"))).alias("at"), F.first("n").alias("n"))
     values = []

@@ -18,7 +18,9 @@ def cases():
     }
 
 
-def test_against_numpy(spark):
+@pytest.mark.parametrize("held", [0, 1 << 16])
+def test_against_numpy(spark, monkeypatch, held):
+    monkeypatch.setattr(qt, "HELD", held)
     data = cases()
     rows = [(k, float(x)) for k, v in data.items() for x in v] + [("normal", None), ("normal", float("nan")), ("nothing", None)] + [(None, float(i)) for i in range(10)]
     df = spark.createDataFrame(rows, "k string, x double").repartition(5)
@@ -39,6 +41,7 @@ def test_few_bins(spark, monkeypatch, bins):
     """However coarse a pass, ranks are found; only the number of passes grows."""
     monkeypatch.setattr(qt, "PER_BINADE", bins)
     monkeypatch.setattr(qt, "BINS", bins)
+    monkeypatch.setattr(qt, "HELD", 0)
     v = np.random.default_rng(8).uniform(0, 1, 400)
     df = spark.createDataFrame([(float(x),) for x in v], "x double")
     assert qt.exact_quantiles(df, "x", [0.5]).first()[0][0] == np.median(v)
