@@ -5,6 +5,9 @@ context words, one compact block: the bigrams of the chunk, their training count
 they occur in. A bucketed table holds the blocks, so that both later passes find all blocks of a
 context together without another shuffle: one pass merges counts and takes the counts of counts, the
 other turns merged counts into discounted probabilities and backoff weights and scores the documents.
+
+The rounds read the documents anew. Chunks and documents are therefore named by what they hold, never by
+their place, so the order of rows may differ from round to round.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .scratch import Tables, release, written
@@ -59,7 +61,7 @@ class _Vocabulary(dict):
 
 
 def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets: int, turn: int):
-    """Rows (kind, bucket, payload) of one chunk: bigrams 'b', words 'u', documents 'm', for the buckets of this round."""
+    """Rows (kind, bucket, payload) of one chunk: bigrams 'b', words 'u' of this round's buckets, and its documents 'm'."""
     hashed = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
     lengths = np.array([len(x) - 1 for x in ids])
     known = np.array([not d[1] for d in docs])
@@ -95,32 +97,36 @@ def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets
         own = own[counts[own] > 0]
         if len(own):
             yield "u", b, pack(hashed[own], counts[own])
-    if turn == 0:
-        yield "m", int(hashed[-1] % np.uint64(buckets)), pack(
-            np.array([d[0] or 0 for d in docs], np.int64), np.array([d[0] is None for d in docs], np.uint8), ~known, lengths.astype(np.int64)
-        )
+    yield "m", int(hashed[-1] % np.uint64(buckets)), pack(*_identity(docs), lengths.astype(np.int64))
+
+
+def _identity(docs: list[tuple]) -> list[np.ndarray]:
+    """Ids, which are null, which are held out, and hashes of the texts: documents equal in all of these score alike."""
+    return [np.array([d[0] or 0 for d in docs], np.int64), np.array([d[0] is None for d in docs], np.uint8), np.array([d[1] for d in docs], bool), np.array([d[2] for d in docs], np.uint64)]
 
 
 def _emit(buckets: int, turn: int):
     def emit(batches):
-        part, seq, docs, ids, n, words = TaskContext.get().partitionId(), 0, [], [], 0, _Vocabulary()
+        docs, ids, n, words = [], [], 0, _Vocabulary()
 
         def rows():
-            kinds, homes, payloads = list(zip(*_chunk(docs, ids, words, buckets, turn))) or ((), (), ())
+            kinds, homes, payloads = zip(*_chunk(docs, ids, words, buckets, turn))
+            chunk = xxhash.xxh64_intdigest(b"".join(x.tobytes() for x in _identity(docs))) >> 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(kinds), pa.array(homes, pa.int32()), pa.array([part] * len(kinds), pa.int32()), pa.array([seq] * len(kinds), pa.int32()), pa.array(payloads, pa.binary())],
-                ["kind", "bucket", "part", "seq", "payload"],
+                [pa.array(kinds), pa.array(homes, pa.int32()), pa.array([chunk] * len(kinds), pa.int64()), pa.array(payloads, pa.binary())],
+                ["kind", "bucket", "chunk", "payload"],
             )
 
         for batch in batches:
             for doc_id, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
-                w = [BEGIN, *text.as_py().lower().split(), END]
+                raw = text.as_py()
+                w = [BEGIN, *raw.lower().split(), END]
                 ids.append(np.fromiter(map(words.__getitem__, w), np.int32, len(w)))
-                docs.append((doc_id, held))
+                docs.append((doc_id, held, xxhash.xxh64_intdigest(raw)))
                 n += len(w)
                 if n >= CHUNK_TOKENS:
                     yield rows()
-                    seq, docs, ids, n, words = seq + 1, [], [], 0, _Vocabulary()
+                    docs, ids, n, words = [], [], 0, _Vocabulary()
         if docs:
             yield rows()
 
@@ -208,12 +214,12 @@ def unigram_model(n: np.ndarray):
 
 
 def _score(buckets: int, uni: np.ndarray, bi: np.ndarray):
-    """Sums per chunk and document of a bucket's log probabilities: the model's, the base's and the known tokens."""
+    """Sums per chunk and document of a bucket's log probabilities, the model's and the base's, its known tokens and all of its tokens."""
 
     def score(key, pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         b = pdf[pdf["kind"] == "b"]
         if not len(b):
-            return pd.DataFrame({"part": [], "seq": [], "kind": [], "payload": []})
+            return pd.DataFrame({"chunk": [], "kind": [], "payload": []})
         blocks = [unpack(x) for x in b["payload"]]
         pre, cur, n, place = _merged(blocks)
         words = np.unique(cur)
@@ -241,25 +247,38 @@ def _score(buckets: int, uni: np.ndarray, bi: np.ndarray):
             own = np.repeat(place[at : at + len(block[2])], block[4])
             at += len(block[2])
             sums = [np.bincount(block[5], weights=v[own]) for v in (logp, base)]
-            rows.append((x.part, x.seq, "p", pack(*sums, np.bincount(block[5], weights=known[own]).astype(np.uint32))))
-        return pd.DataFrame(rows, columns=["part", "seq", "kind", "payload"])
+            rows.append((x.chunk, "p", pack(*sums, np.bincount(block[5], weights=known[own]).astype(np.uint32), np.bincount(block[5]).astype(np.uint32))))
+        return pd.DataFrame(rows, columns=["chunk", "kind", "payload"])
 
     return score
 
 
-def _documents(total: int):
-    def documents(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, missing, held, n = unpack(pdf["payload"][pdf["kind"] == "m"].iloc[0])
-        sums = np.zeros((3, len(ids)))
-        for x in pdf["payload"][pdf["kind"] == "p"]:
-            for k, a in enumerate(unpack(x)):
-                sums[k, : len(a)] += a
-        return pd.DataFrame({
-            "doc_id": pd.array(ids, "Int64").copy() if not missing.any() else pd.Series(ids, dtype="Int64").mask(missing.astype(bool)),
-            "held_out": held.astype(bool), "n_tokens": n, "n_known": sums[2].astype(np.int64), "train_tokens": total, "base_score": sums[1], "score": sums[0],
-        })
-
-    return documents
+def _documents(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The documents of a chunk with what its buckets add up to, and how often the chunk was read, ``times``."""
+    m = pdf["payload"][pdf["kind"] == "m"]
+    ids, missing, held, text, n = unpack(m.iloc[0]) if len(m) else [np.zeros(0, k) for k in (np.int64, np.uint8, bool, np.uint64, np.int64)]
+    sums = np.zeros((4, len(ids)))
+    for x in pdf["payload"][pdf["kind"] == "p"] if len(m) else ():
+        for k, a in enumerate(unpack(x)):
+            sums[k, : len(a)] += a
+    return pd.DataFrame({
+        "doc_id": pd.Series(ids, dtype="Int64").mask(missing.astype(bool)), "held_out": held.astype(bool), "text_hash": text.view(np.int64), "n_tokens": n,
+        "times": np.full(len(ids), len(m), np.int64), "met": sums[3].astype(np.int64), "n_known": sums[2].astype(np.int64), "base_score": sums[1], "score": sums[0],
+    })
+
+
+def _whole(parts: DataFrame, total: int) -> DataFrame:
+    """A row per document from the sums of its chunks, which every round may have cut anew; an error if rounds did not read the same documents."""
+    per = parts.groupBy("chunk").applyInPandas(_documents, "doc_id long, held_out boolean, text_hash long, n_tokens long, times long, met long, n_known long, base_score double, score double")
+    per = per.groupBy("doc_id", "held_out", "text_hash", "n_tokens").agg(*[F.sum(c).alias(c) for c in ("times", "met", "n_known", "base_score", "score")])
+    same = (F.col("times") % ROUNDS == 0) & (F.col("met") * ROUNDS == F.col("n_tokens") * F.col("times"))
+    per = per.where(F.when(same, True).otherwise(F.raise_error(F.lit("documents changed while the model read them")).cast("boolean")))
+    per = per.withColumn("copies", (F.col("times") / ROUNDS).cast("long")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    each = lambda c: F.col(c) / F.col("copies")
+    return per.select(
+        "doc_id", "held_out", "n_tokens", each("n_known").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        each("base_score").alias("base_score"), each("score").alias("score"),
+    )
 
 
 def language_model_scores(docs: DataFrame) -> DataFrame:
@@ -273,7 +292,8 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     Contexts without any discount count one more event, so that a rest exists.
 
     Words are held by 64-bit hashes. Null and empty texts hold just the end token; a null doc_id is
-    trained on, not held out; repeated rows count each. No training documents: every
+    trained on, not held out; repeated rows count each. ``docs`` is read several times, in any order of
+    rows; if documents themselves differ between the times, an error says so. No training documents: every
     token is unknown with probability 1, and the base's N and V are 0. An empty table gives none.
     """
     spark = docs.sparkSession
@@ -284,7 +304,7 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     tables = Tables()
     try:
         for turn in range(ROUNDS):
-            grams = d.mapInArrow(_emit(buckets, turn), "kind string, bucket int, part int, seq int, payload binary").repartition(buckets, "bucket")
+            grams = d.mapInArrow(_emit(buckets, turn), "kind string, bucket int, chunk long, payload binary").repartition(buckets, "bucket")
             grams.write.mode("append").option("compression", "none").bucketBy(buckets, "bucket").saveAsTable(name)
             del grams
             release(spark)
@@ -297,12 +317,9 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
         asks = counted.where("kind = 'a'").select("to", "source", "payload")
         words = counted.where("kind = 'u'").select(F.col("to").alias("own"), F.col("payload").alias("words"))
         answers = asks.groupBy("to").cogroup(words.groupBy("own")).applyInPandas(_answer, "bucket int, home int, payload binary")
-        sums = table.where("kind = 'b'").groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_score(buckets, uni, bi), "part int, seq int, kind string, payload binary")
-        parts = table.where("kind = 'm'").select("part", "seq", "kind", "payload").union(sums)
-        scores = written(parts.groupBy("part", "seq").applyInPandas(
-            _documents(int(uni[CUT + 1])), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-        ))
-        return scores
+        sums = table.where("kind = 'b'").groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_score(buckets, uni, bi), "chunk long, kind string, payload binary")
+        parts = table.where("kind = 'm'").select("chunk", "kind", "payload").union(sums)
+        return written(_whole(parts, int(uni[CUT + 1])))
     finally:
         tables.__exit__()
         spark.sql(f"DROP TABLE IF EXISTS {name}")

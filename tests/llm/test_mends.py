@@ -5,9 +5,13 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 import pickle
+from collections import Counter
 
-from lendgrid.llm import hnsw, langid
-from tests.llm.test_corpus import docs
+import pytest
+from pyspark.sql import types as T
+
+from lendgrid.llm import hnsw, katz, langid
+from tests.llm.test_corpus import corpus, docs, katz_brute  # noqa: F401
 
 
 def test_letters_are_of_category_l(spark):
@@ -49,3 +53,38 @@ def test_clusters_and_lone_vectors(spark):
     got = {r.vec_id: r.n_links for r in hnsw.near_vectors(df, shard_rows=700).collect()}
     n = np.array([got[i] for i in range(len(v))])
     assert (n >= 0).all() and (n <= want).all() and n.sum() >= 0.98 * want.sum() > 1000
+
+
+def _dealt_anew(df, change=False):
+    """The rows of ``df`` in an order, and in partitions, that differ each time they are read; with ``change``, so do their texts."""
+
+    def deal(batches):
+        rng = np.random.default_rng()
+        for b in batches:
+            b = b.sample(frac=1, random_state=rng)
+            if change:
+                b["text"] = [f"{t} {x}" for t, x in zip(b["text"], rng.integers(1 << 60, size=len(b)))]
+            yield b.assign(dealt=rng.integers(1 << 40, size=len(b)))
+
+    return df.mapInPandas(deal, T.StructType([*df.schema.fields, T.StructField("dealt", T.LongType())])).repartition(3, "dealt")
+
+
+def _scores(df):
+    return Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in katz.language_model_scores(df).collect())
+
+
+def test_katz_over_rows_dealt_anew_each_time(spark, corpus):  # noqa: F811
+    assert _scores(_dealt_anew(docs(spark, corpus))) == Counter(katz_brute(corpus))
+
+
+def test_katz_counts_every_copy_of_equal_chunks(spark, corpus):  # noqa: F811
+    """Two partitions that hold the same rows in the same order."""
+    some = [r for r in corpus[:40]]
+    twice = docs(spark, some).coalesce(1).union(docs(spark, some).coalesce(1))
+    assert _scores(twice) == Counter(katz_brute(some + some))
+
+
+def test_katz_reports_documents_that_change(spark):
+    rows = [(i, f"some words of document {i}", "en", None) for i in range(30)]
+    with pytest.raises(Exception, match="documents changed"):
+        katz.language_model_scores(_dealt_anew(docs(spark, rows), True)).collect()
