@@ -47,6 +47,15 @@ def _stamp(spark: SparkSession, paths: list[str]) -> tuple:
     return tuple(sorted(out))
 
 
+#: Rows of a file of the prepared table, at least and at most.
+FILE_ROWS = (1 << 14, 1 << 20)
+
+
+def file_rows(spark: SparkSession, rows: int) -> int:
+    """Rows of a file such that a small table still gives every core one, and a large one no small files."""
+    return max(FILE_ROWS[0], min(FILE_ROWS[1], -(-rows // (2 * spark.sparkContext.defaultParallelism))))
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``applications``, joined and written once a session; anew if a file of the tables below it has changed.
 
@@ -57,6 +66,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = spark.__dict__.setdefault("_lendgrid_prepared", {})
     if key not in known:
         path = new_path(spark, "applications")
-        applications(spark, sf_dir).write.parquet(path)
+        rows = spark.read.parquet(f"{sf_dir}/orders.parquet").count()  # an application an order, counted from the footers
+        applications(spark, sf_dir).write.option("maxRecordsPerFile", file_rows(spark, rows)).parquet(path)
         known[key] = path
     return spark.read.parquet(known[key])
