@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lendgrid.operators import population as pop
 from lendgrid.sources import applications as src
+from lendgrid.sources import shared
 
 
 def test_match_patterns(spark):
@@ -28,3 +29,12 @@ def test_a_segment_is_replaced_alone(spark, tmp_path):
     for v in (1.0, 2.0):
         src.write_results(spark.createDataFrame([(v,)], "v double"), str(tmp_path), "whole")
     assert [r.v for r in src.read_results(spark, str(tmp_path), "whole").collect()] == [2.0]
+
+
+def test_file_rows_are_bounded(spark):
+    """Small tables get a file a core or more, large ones no small files."""
+    cores = spark.sparkContext.defaultParallelism
+    low, high = shared.FILE_ROWS
+    assert shared.file_rows(spark, 0) == low and shared.file_rows(spark, 10**12) == high
+    n = 4 * cores * low
+    assert low < shared.file_rows(spark, n) <= n // (2 * cores)
