@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..sources.shared import written
 
@@ -46,6 +46,13 @@ def _located(hist: DataFrame, within: Sequence[str], keys: Sequence[str], ranks:
     return h.select(*keys, "n", F.explode(F.array_distinct(mine)).alias("rank"), F.col("below").alias("base"), "lo", "hi", "c")
 
 
+def _kept(state: DataFrame) -> tuple[DataFrame, int | None]:
+    """The state, written, and the count of its largest open range, which is observed while it is written."""
+    seen = Observation()
+    kept = written(state.observe(seen, F.max(F.when(F.col("lo") < F.col("hi"), F.col("c"))).alias("largest")))
+    return kept, seen.get["largest"]
+
+
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """keys, quantiles: the exact quantiles of ``column``, in the order of ``probabilities``, by interpolation between neighbours.
 
@@ -60,8 +67,9 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
     hist = d.groupBy(*on, value_bin(F.col("x")).alias("bin")).agg(*count).withColumn("n", F.sum("c").over(Window.partitionBy(*on)))
     low = [F.floor(F.lit(p) * (F.col("n") - 1)) for p in probabilities]
     wanted = F.array(*low, *[F.least(r + 1, F.col("n") - 1) for r in low])
-    state = written(_located(hist, on, on, wanted, F.lit(0).cast("long")))
-    while (largest := (still := state.where("lo < hi")).agg(F.max("c")).first()[0]) is not None:
+    state, largest = _kept(_located(hist, on, on, wanted, F.lit(0).cast("long")))
+    while largest is not None:
+        still = state.where("lo < hi")
         ranges = still.groupBy(*on).agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))  # at most two a probability
         near = F.explode(F.filter("ranges", lambda r: (F.col("x") >= r["lo"]) & (F.col("x") <= r["hi"])))
         inside = _same(d, ranges, on).select(*on, "x", near.alias("range"))
@@ -74,7 +82,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
             share = (F.col("x") - F.col("range.lo")) / (F.col("range.hi") - F.col("range.lo"))
             bins = inside.groupBy(*on, "range", F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin")).agg(*count)
             finer = _located(_same(bins, asked, [*on, "range"]), [*on, "range"], on, F.col("ranks"), F.col("base"))
-        state = written(state.where("lo = hi").unionByName(finer))
+        state, largest = _kept(state.where("lo = hi").unionByName(finer))
     at = state.groupBy(*on).agg(F.map_from_entries(F.collect_set(F.struct("rank", "lo"))).alias("at"), F.first("n").alias("n"))
     values = []
     for p in probabilities:
