@@ -92,9 +92,8 @@ class Scanner:
             for i, g in enumerate(pairs):
                 if g not in grams:
                     continue
-                inside, both, top = {g}, 1, None
-                if size == 1:
-                    top = 1.0, i
+                inside, both, alone = {g}, 1, 2 / (1 + size)
+                top = (alone, i) if alone >= self.least else None
                 for j in range(i + 1, len(pairs)):
                     x = pairs[j]
                     if x == g:

@@ -77,6 +77,29 @@ def test_size_bounds_lose_no_template(tokens):
     assert (got is None) == (best[0] < 0.5) and (got is None or math.isclose(got[0], best[0]))
 
 
+def test_windows_equal_brute_force():
+    """For each template the best of all runs of words, whatever they begin and end with, is the best that ``windows`` finds."""
+    rng, found = random.Random(11), 0
+    for turn in range(120):
+        letters = "abcdefgh"[: rng.choice((3, 5, 8))]
+        templates = {f"t{k}": " ".join(rng.choices(letters, k=rng.randint(2, 14))) for k in range(4)}
+        words = rng.choices(letters, k=rng.randint(0, 40))
+        if turn % 2:
+            part = templates["t1"].split()
+            words[len(words) // 2 : len(words) // 2] = part[: rng.randint(2, len(part))]
+        least = rng.choice((0.5, 0.8, 0.9))
+        got = licences.Scanner(templates, least).windows(words)
+        for name, text in templates.items():
+            grams = licences.bigrams(text.split())
+            dice = lambda a, b: 2 * len(licences.bigrams(words[a : b + 1]) & grams) / (len(licences.bigrams(words[a : b + 1])) + len(grams))  # noqa: B023, E731
+            every = [dice(a, b) for a in range(len(words)) for b in range(a + 1, len(words))]
+            mine = [(d, a, b) for d, a, b, n in got if n == name]
+            assert all(d == dice(a, b) >= least for d, a, b in mine)
+            assert max((d for d, _, _ in mine), default=None) == max((d for d in every if d >= least), default=None), (words, text)
+            found += bool(mine)
+    assert found > 100
+
+
 # --- embeddings ---------------------------------------------------------------------------------
 
 
