@@ -217,11 +217,11 @@ def feature_set_cv(folds: DataFrame, sets: Mapping[str, Sequence[str]] = FEATURE
 
 
 def weighted_r2(predictions: DataFrame, keys: Sequence[str] = (), target: str = "target", weight: str = "todu_amt_pile_h6") -> DataFrame:
-    """keys, r2: one less the weighted squared error over the weighted squares around the weighted mean; null under two cells."""
+    """keys, r2: one less the weighted squared error over the weighted squares around the weighted mean; null under two cells and where all targets are equal."""
     w, y, e = F.col(weight), F.col(target), F.col(target) - F.col("prediction")
-    g = predictions.groupBy(*keys).agg(F.sum(w).alias("sw"), F.sum(w * y).alias("swy"), F.sum(w * y * y).alias("swyy"), F.sum(w * e * e).alias("see"), F.count("*").alias("n"))
+    g = predictions.groupBy(*keys).agg(F.sum(w).alias("sw"), F.sum(w * y).alias("swy"), F.sum(w * y * y).alias("swyy"), F.sum(w * e * e).alias("see"), F.count("*").alias("n"), (F.min(y) < F.max(y)).alias("varied"))
     around = F.col("swyy") - F.col("swy") * F.col("swy") / F.col("sw")
-    return g.select(*keys, F.when((F.col("n") >= 2) & (around > 0), 1 - F.col("see") / around).alias("r2"))
+    return g.select(*keys, F.when((F.col("n") >= 2) & F.col("varied") & (around > 0), 1 - F.col("see") / around).alias("r2"))
 
 
 def one_se_select(results: DataFrame) -> DataFrame:

@@ -248,7 +248,7 @@ def ml2(spark, d):
     return co.union_all([predicted(rm.linear_risk_model(c, list(cl.CELL), k, s), c).withColumn("kind", F.lit(k)) for k, s in (("linear", 0.0), ("ridge", 10.0))])
 
 
-@query("ml2b_weighted_r2", "SELECT kind, round(1 - sum(w * (target - p) * (target - p)) / (sum(w * target * target) - sum(w * target) * sum(w * target) / sum(w)), 6) AS r2 FROM lp GROUP BY 1", MODEL_SQL)
+@query("ml2b_weighted_r2", "SELECT kind, CASE WHEN count(*) >= 2 AND min(target) < max(target) THEN round(1 - sum(w * (target - p) * (target - p)) / (sum(w * target * target) - sum(w * target) * sum(w * target) / sum(w)), 6) END AS r2 FROM lp GROUP BY 1", MODEL_SQL)
 def ml2b(spark, d):
     c = model_cells(spark, d)
     kinds = [rm.linear_risk_model(c, list(cl.CELL), k, s).transform(c).withColumn("kind", F.lit(k)) for k, s in (("linear", 0.0), ("ridge", 10.0))]

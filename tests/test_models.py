@@ -148,6 +148,13 @@ def test_weighted_r2(spark):
     assert got["a"] == pytest.approx(1 - 1 / (2 * (1 - mean) ** 2 + (3 - mean) ** 2)) and got["b"] is None
 
 
+def test_weighted_r2_of_equal_targets(spark):
+    """Rounding leaves the sums apart by a little where all targets are equal: there is nothing to explain, whatever the weights."""
+    rng = random.Random(3)
+    d = spark.createDataFrame([(str(k), 0.12, 0.12, rng.uniform(4e9, 8e9)) for k in range(20) for _ in range(16)], "k string, target double, prediction double, todu_amt_pile_h6 double")
+    assert [r.r2 for r in rm.weighted_r2(d, ["k"]).collect()] == [None] * 20
+
+
 def bins_brute(xs, ys, leaves, least):
     edges = []
     for _ in range(leaves - 1):
