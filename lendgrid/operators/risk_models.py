@@ -8,9 +8,8 @@ import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import bin_right_closed, hash_fraction, money_sum, risk_ratio
 from ..sources.shared import written
@@ -69,6 +68,15 @@ def linear_risk_model(cells: DataFrame, features: Sequence[str], kind: str = "li
     return _assembled(features, lr).fit(cells)
 
 
+def linear_score(intercept: float, coefficients: Sequence[float], columns: Sequence[Column | str]) -> Column:
+    """The linear score of a fitted model from its numbers.
+
+    A logistic model's own transform ships its training summary, and with it the session, to the tasks;
+    that fails as soon as the session has observed a query.
+    """
+    return sum((F.lit(float(b)) * (F.col(c) if isinstance(c, str) else c) for b, c in zip(coefficients, columns)), F.lit(float(intercept)))
+
+
 def tweedie_model(cells: DataFrame, features: Sequence[str], power: float = 1.5, target: str = "target", weight: str = "todu_amt_pile_h6") -> PipelineModel:
     """Tweedie regression with log link."""
     g = GeneralizedLinearRegression(labelCol=target, weightCol=weight, family="tweedie", variancePower=power, linkPower=0.0, regParam=1e-6)
@@ -82,8 +90,8 @@ def hurdle_predictions(cells: DataFrame, features: Sequence[str], target: str =
     size = _assembled(features, LinearRegression(labelCol=target, weightCol=weight, solver="normal", regParam=1e-6), "__size").fit(c.where("__nz = 1"))
     out = size.transform(c).drop("features")
     if 0 < share < 1:
-        p = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), LogisticRegression(labelCol="__nz", weightCol=weight, featuresCol="features", predictionCol="__class", rawPredictionCol="__raw", probabilityCol="__p", regParam=1e-3)]).fit(out)
-        out = p.transform(out).withColumn("__prob", vector_to_array("__p")[1]).drop("features", "__class", "__raw", "__p")
+        p = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), LogisticRegression(labelCol="__nz", weightCol=weight, featuresCol="features", regParam=1e-3)]).fit(out).stages[-1]
+        out = out.withColumn("__prob", 1 / (1 + F.exp(-linear_score(p.intercept, p.coefficients, features))))
     else:
         out = out.withColumn("__prob", F.lit(float(share or 0.0)))
     return out.withColumn("prediction", F.col("__prob") * F.greatest("__size", F.lit(0.0))).drop("__prob", "__size", "__nz")
@@ -297,10 +305,11 @@ def combined_score(df: DataFrame, columns: Sequence[str], y: str) -> DataFrame:
     n = df.count()
     stages = [
         VectorAssembler(inputCols=list(columns), outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="__std", withMean=True, withStd=True),
-        LogisticRegression(featuresCol="__std", labelCol=y, regParam=1.0 / max(n, 1), standardization=False, tol=1e-10, maxIter=200, rawPredictionCol="__margin", probabilityCol="__p", predictionCol="__c"),
+        LogisticRegression(featuresCol="__std", labelCol=y, regParam=1.0 / max(n, 1), standardization=False, tol=1e-10, maxIter=200),
     ]
-    out = Pipeline(stages=stages).fit(df).transform(df)  # the penalty is strength 1 on the sum of losses
-    return out.withColumn("combined", vector_to_array("__margin")[1]).drop("__raw", "__std", "__margin", "__p", "__c")
+    _, scale, fit = Pipeline(stages=stages).fit(df).stages  # the penalty is strength 1 on the sum of losses
+    standard = [(F.col(c) - F.lit(float(m))) * F.lit(1 / float(s) if s else 0.0) for c, m, s in zip(columns, scale.mean, scale.std)]
+    return df.withColumn("combined", linear_score(fit.intercept, fit.coefficients, standard))
 
 
 def save_model(model: PipelineModel, path: str, features: Sequence[str], **metadata: str) -> None:

@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from lendgrid.functions import scalars as fn
 from lendgrid.operators import cells as cl, consolidate as co, cutoffs as cut, population as pop, quality as dq, risk_models as rm, stability as st
@@ -200,6 +200,18 @@ def test_combined_score_is_at_its_optimum(spark):
     assert np.allclose([r.combined for r in got], full @ b, atol=1e-4)
 
 
+def test_scores_in_a_session_that_has_observed(spark):
+    """An observation leaves something in the session that can't go to tasks: logistic models must not take the session along."""
+    seen = Observation()
+    spark.range(5).observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 5
+    rows = [(i, float(i % 7), float(i % 5), int(i % 7 > 3) if i % 3 else 0, 1.0 + i % 2) for i in range(60)]
+    d = spark.createDataFrame(rows, "id long, a double, b double, y int, todu_amt_pile_h6 double")
+    assert len(rm.combined_score(d.withColumn("c", F.lit(4.0)), ["a", "b", "c"], "y").where("combined is not null").collect()) == 60
+    p = [r.prediction for r in rm.hurdle_predictions(d.withColumn("target", F.col("y") * 2.0), ["a", "b"]).collect()]
+    assert len(p) == 60 and all(0 <= x <= 2.001 for x in p) and max(p) > 0.5
+
+
 def test_saved_models_score_alike(grid, tmp_path):
     m = rm.linear_risk_model(grid, cl.CELL)
     rm.save_model(m, str(tmp_path / "m"), cl.CELL, kind="linear")
