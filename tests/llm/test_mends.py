@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import types as T
 
-from lendgrid.llm import hnsw, katz, langid
+from lendgrid.llm import hnsw, katz, langid, lines, scratch
 from tests.llm.test_corpus import corpus, docs, katz_brute  # noqa: F401
 
 
@@ -88,3 +88,24 @@ def test_katz_reports_documents_that_change(spark):
     rows = [(i, f"some words of document {i}", "en", None) for i in range(30)]
     with pytest.raises(Exception, match="documents changed"):
         katz.language_model_scores(_dealt_anew(docs(spark, rows), True)).collect()
+
+
+def test_line_tables_go_before_lines_are_joined(spark, monkeypatch):
+    """When the result is written, of all tables only lines, roots and what keeps a line are left."""
+    made = []
+
+    class Counted(lines.Tables):
+        def __init__(self):
+            super().__init__()
+            made.append(self)
+
+        def __exit__(self, *error):
+            super().__exit__(*error)
+            self.made = []
+
+    left = []
+    monkeypatch.setattr(lines, "Tables", Counted)
+    monkeypatch.setattr(lines, "written", lambda df: (left.append(sum(len(t.made) for t in made)), scratch.written(df))[1])
+    docs = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog\nsomething else altogether"), (2, "the quick brown fox jumps over the lazy dogs")], "doc_id long, text string")
+    rows = {(r.doc_id, r.line_no): r.kept for r in lines.line_components(docs).collect()}
+    assert rows == {(1, 0): True, (1, 1): True, (2, 0): False} and left == [4]
