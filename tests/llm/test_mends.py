@@ -5,6 +5,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 import pickle
+import random
 from collections import Counter
 
 import pytest
@@ -109,3 +110,16 @@ def test_line_tables_go_before_lines_are_joined(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog\nsomething else altogether"), (2, "the quick brown fox jumps over the lazy dogs")], "doc_id long, text string")
     rows = {(r.doc_id, r.line_no): r.kept for r in lines.line_components(docs).collect()}
     assert rows == {(1, 0): True, (1, 1): True, (2, 0): False} and left == [4]
+
+
+def test_near_copies_give_few_pairs(spark):
+    """200 sets near one base, each with elements of a small pool: any two share rare elements early, but few can be similar."""
+    rng = random.Random(8)
+    sets = [(i, rng.sample(range(200), 180) + rng.sample(range(1000, 1200), 20)) for i in range(200)]
+    sets += [(1000 + i, g[:-1] + [5000 + i]) for i, g in sets[:20]]
+    j = {k: {*g} for k, g in sets}
+    want = {(a, b) for a in j for b in j if a < b and len(j[a] & j[b]) >= 0.8 * len(j[a] | j[b])}
+    roots = spark.createDataFrame([(k, k) for k in j], "k1 long, root long")
+    with lines.Tables() as tables:
+        got = {(min(r.a, r.b), max(r.a, r.b)) for r in lines.prefix_pairs(spark.createDataFrame(sets, "k1 long, g array<int>"), roots, tables).collect()}
+    assert len(want) >= 20 and want <= got and len(got) < len(want) + 200
