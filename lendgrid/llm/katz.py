@@ -6,6 +6,9 @@ they occur in. A bucketed table holds the blocks, so that both later passes find
 context together without another shuffle: one pass merges counts and takes the counts of counts, the
 other turns merged counts into discounted probabilities and backoff weights and scores the documents.
 
+A context that many tokens follow is dealt over several buckets by the words after it, so no bucket
+grows with the commonest word; the sums over such a context are added up from its buckets.
+
 The rounds read the documents anew. Chunks and documents are therefore named by what they hold, never by
 their place, so the order of rows may differ from round to round.
 """
@@ -25,9 +28,12 @@ from .scratch import Tables, release, written
 
 CHUNK_TOKENS, CUT = 1_200_000, 5
 #: Bytes of text per bucket: a bucket is one task's work.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 8 << 20
+#: A context of more tokens is dealt over several buckets, of about so many each. Which words are is estimated on a share of the
+#: documents and only sets the layout: every token is counted and scored, however its context is dealt.
+PART_TOKENS, SHARE = 350_000, 16
 #: The corpus is read once a round, each for its share of the buckets: what is shuffled at once shrinks accordingly.
-ROUNDS = 3
+ROUNDS = 4
 BEGIN, END = b"\n<s>", b"\n</s>"  # no word holds white space
 
 
@@ -60,43 +66,98 @@ class _Vocabulary(dict):
         return n
 
 
-def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets: int, turn: int):
+def _hashes(words: _Vocabulary) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+
+
+def _words(batches):
+    """Words of the texts by their hash, with their counts as contexts; those met once in a task are left out."""
+    words, n = _Vocabulary(), np.zeros(0, np.int64)
+    for batch in batches:
+        met = [np.zeros(0, np.int64)]
+        for text in batch.column(0).cast(pa.binary()):
+            w = [BEGIN, *text.as_py().lower().split()]
+            met.append(np.fromiter(map(words.__getitem__, w), np.int64, len(w)))
+        more = np.bincount(np.concatenate(met), minlength=len(words))
+        more[: len(n)] += n
+        n = more
+    own = n > 1
+    yield pa.RecordBatch.from_arrays([pa.array(_hashes(words)[own].view(np.int64)), pa.array(n[own].astype(np.int64))], ["word", "n"])
+
+
+def _heavy(d: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, of the words that more than about ``PART_TOKENS`` tokens follow, and the number of buckets for each: at most one per so many tokens."""
+    n = F.sum("n") * SHARE
+    per = d.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARE)) == 0).select("text").mapInArrow(_words, "word long, n long").groupBy("word").agg(n.alias("n"))
+    rows = per.where(F.col("n") > PART_TOKENS).collect()
+    word, n = np.array([r.word for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
+    order = np.argsort(word)
+    return word[order], np.minimum(-(-n[order] // PART_TOKENS), buckets)
+
+
+def _among(heavy: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """The place of each hash among the heavy ones, -1 for others."""
+    if not len(heavy):
+        return np.full(len(hashed), -1)
+    at = np.minimum(np.searchsorted(heavy, hashed), len(heavy) - 1)
+    return np.where(heavy[at] == hashed, at, -1)
+
+
+def _chunk(docs: list[tuple], ids: list[np.ndarray], words: _Vocabulary, buckets: int, turn: int, heavy: tuple[np.ndarray, np.ndarray]):
     """Rows (kind, bucket, payload) of one chunk: bigrams 'b', words 'u' of this round's buckets, and its documents 'm'."""
-    hashed = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    hashed = _hashes(words)
     lengths = np.array([len(x) - 1 for x in ids])
     known = np.array([not d[1] for d in docs])
     doc = np.repeat(np.arange(len(docs), dtype=np.uint32), lengths)
     before, after = np.concatenate([x[:-1] for x in ids]), np.concatenate([x[1:] for x in ids])
     counts = np.bincount(after, weights=np.repeat(known, lengths), minlength=len(words)).astype(np.uint32)
-    # Contexts in the order of their bucket and hash; then one sort gives bigrams, counts and postings.
+    # A heavy word counts as a context for each of its parts; the word after it says which.
+    which = _among(heavy[0], hashed)
+    common = np.flatnonzero(which >= 0)
+    parts = np.ones(len(words), np.int64)
+    parts[common] = heavy[1][which[common]]
+    first = np.arange(len(words))
+    first[common] = len(words) + np.cumsum(parts[common]) - parts[common]
+    word = np.concatenate([np.arange(len(words)), np.repeat(common, parts[common])])
     home = (hashed % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((hashed, home))
-    place = np.empty(len(words), np.int64)
-    place[order] = np.arange(len(words))
+    place_of = (home[word] + np.arange(len(word)) - first[word]) % buckets
+    place_of[: len(words)] = home
+    context = first[before]
+    if len(common):
+        deal = np.flatnonzero(parts[before] > 1)
+        context[deal] += (hashed[after[deal]] >> np.uint64(32)).astype(np.int64) % parts[before[deal]]
+    own = place_of[context] % ROUNDS == turn
+    context, after, doc = context[own], after[own], doc[own]
+    # Contexts in the order of their bucket and hash; then one sort gives bigrams, counts and postings.
+    order = np.lexsort((hashed[word], place_of))
+    place = np.empty(len(word), np.int64)
+    place[order] = np.arange(len(word))
     rank = np.empty(len(words), np.int64)
     rank[np.argsort(hashed)] = np.arange(len(words))
-    key = place[before] * len(words) + rank[after]
-    del before, after
-    sort = np.argsort(key, kind="stable")
-    key, doc = key[sort], doc[sort]
-    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    times = np.diff(np.append(starts, len(key))).astype(np.uint32)
-    train = np.add.reduceat(known[doc].astype(np.int64), starts).astype(np.uint32)
-    pre, cur = order[key[starts] // len(words)], np.sort(hashed)[key[starts] % len(words)]
-    where = home[pre]
-    edges = np.searchsorted(where, np.arange(buckets + 1))
-    tokens = np.append(starts, len(key))
-    for b in range(turn, buckets, ROUNDS):
-        lo, hi = edges[b], edges[b + 1]
-        if lo < hi:
-            p = hashed[pre[lo:hi]]
-            runs = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-            yield "b", b, pack(p[runs], np.diff(np.append(runs, hi - lo)).astype(np.uint32), cur[lo:hi], train[lo:hi], times[lo:hi], doc[tokens[lo] : tokens[hi]])
+    key = place[context] * len(words) + rank[after]
+    del before, after, context, own
+    if len(key):
+        sort = np.argsort(key, kind="stable")
+        key, doc = key[sort], doc[sort]
+        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        times = np.diff(np.append(starts, len(key))).astype(np.uint32)
+        train = np.add.reduceat(known[doc].astype(np.int64), starts).astype(np.uint32)
+        pre, cur = order[key[starts] // len(words)], np.sort(hashed)[key[starts] % len(words)]
+        edges = np.searchsorted(place_of[pre], np.arange(buckets + 1))
+        tokens = np.append(starts, len(key))
+        for b in range(turn, buckets, ROUNDS):
+            lo, hi = edges[b], edges[b + 1]
+            if lo < hi:
+                p = hashed[word[pre[lo:hi]]]
+                runs = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
+                yield "b", b, pack(p[runs], np.diff(np.append(runs, hi - lo)).astype(np.uint32), cur[lo:hi], train[lo:hi], times[lo:hi], doc[tokens[lo] : tokens[hi]])
+    trained = np.flatnonzero((counts > 0) & (home % ROUNDS == turn))
+    trained = trained[np.lexsort((hashed[trained], home[trained]))]
+    edges = np.searchsorted(home[trained], np.arange(buckets + 1))
     for b in range(turn, buckets, ROUNDS):
-        own = order[np.searchsorted(home[order], b) : np.searchsorted(home[order], b + 1)]
-        own = own[counts[own] > 0]
-        if len(own):
-            yield "u", b, pack(hashed[own], counts[own])
+        u = trained[edges[b] : edges[b + 1]]
+        if len(u):
+            yield "u", b, pack(hashed[u], counts[u])
     yield "m", int(hashed[-1] % np.uint64(buckets)), pack(*_identity(docs), lengths.astype(np.int64))
 
 
@@ -105,12 +166,12 @@ def _identity(docs: list[tuple]) -> list[np.ndarray]:
     return [np.array([d[0] or 0 for d in docs], np.int64), np.array([d[0] is None for d in docs], np.uint8), np.array([d[1] for d in docs], bool), np.array([d[2] for d in docs], np.uint64)]
 
 
-def _emit(buckets: int, turn: int):
+def _emit(buckets: int, turn: int, heavy: tuple[np.ndarray, np.ndarray]):
     def emit(batches):
         docs, ids, n, words = [], [], 0, _Vocabulary()
 
         def rows():
-            kinds, homes, payloads = zip(*_chunk(docs, ids, words, buckets, turn))
+            kinds, homes, payloads = zip(*_chunk(docs, ids, words, buckets, turn, heavy))
             chunk = xxhash.xxh64_intdigest(b"".join(x.tobytes() for x in _identity(docs))) >> 1
             return pa.RecordBatch.from_arrays(
                 [pa.array(kinds), pa.array(homes, pa.int32()), pa.array([chunk] * len(kinds), pa.int64()), pa.array(payloads, pa.binary())],
@@ -137,14 +198,15 @@ def _merged(blocks: list[list[np.ndarray]]):
     """Context, word and count of each distinct bigram, and each block entry's place among them."""
     pre = np.concatenate([np.repeat(b[0], b[1]) for b in blocks])
     cur = np.concatenate([b[2] for b in blocks])
-    train = np.concatenate([b[3] for b in blocks]).astype(np.int64)
     order = np.lexsort((cur, pre))
     p, c = pre[order], cur[order]
     new = np.concatenate(([True], (p[1:] != p[:-1]) | (c[1:] != c[:-1])))
     starts = np.flatnonzero(new)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.cumsum(new) - 1
-    return p[starts], c[starts], np.add.reduceat(train[order], starts), place
+    del pre, cur
+    p, c = p[starts], c[starts]
+    place = np.empty(len(order), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return p, c, np.add.reduceat(np.concatenate([b[3] for b in blocks])[order], starts, dtype=np.int64), place
 
 
 def _tally(counts: np.ndarray) -> np.ndarray:
@@ -152,8 +214,8 @@ def _tally(counts: np.ndarray) -> np.ndarray:
     return np.append(np.bincount(counts[(counts > 0) & (counts <= CUT + 1)], minlength=CUT + 2)[1:], [counts.sum(), (counts > 0).sum()]).astype(np.int64)
 
 
-def _count(buckets: int):
-    """A bucket's tallies ('s'), its words ('u') and the words it must ask for ('a', by their bucket)."""
+def _count(buckets: int, heavy: np.ndarray):
+    """A bucket's tallies ('s'), its words ('u'), the words it must ask for ('a', by their bucket); of each heavy context in it the tally ('t') and the words seen after it ('w', by their bucket)."""
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         bucket, rows = int(pdf["bucket"].iloc[0]), []
@@ -166,8 +228,14 @@ def _count(buckets: int):
             tally[0] = _tally(n)
             rows.append(("u", bucket, -1, pack(w, n)))
         if b:
-            _, cur, n, _ = _merged(b)
+            pre, cur, n, _ = _merged(b)
             tally[1] = _tally(n)
+            which = _among(heavy, pre)
+            for h in np.unique(which[which >= 0]):
+                own = which == h
+                rows.append(("t", -1, int(h), _tally(n[own]).tobytes()))
+                for k, w in _asked(cur[own & (n > 0)], buckets):
+                    rows.append(("w", k, int(h), pack(w)))
             for k, w in _asked(cur, buckets):
                 rows.append(("a", k, bucket, pack(w)))
         rows.append(("s", -1, bucket, np.concatenate(tally).tobytes()))
@@ -183,14 +251,32 @@ def _asked(cur: np.ndarray, buckets: int):
         yield int(k), words[home == k]
 
 
-def _answer(key, asks: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+def _counts(words: pd.DataFrame):
+    """hashes -> counts, 0 for words that aren't there."""
     w, n = unpack(words["words"].iloc[0]) if len(words) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    rows = []
-    for x in asks.itertuples():
-        (q,) = unpack(x.payload)
-        at = np.minimum(np.searchsorted(w, q), max(len(w) - 1, 0))
-        rows.append((x.source, x.to, pack(np.where(w[at] == q, n[at], 0) if len(w) else np.zeros(len(q), np.int64))))
-    return pd.DataFrame(rows, columns=["bucket", "home", "payload"])
+
+    def of(q: np.ndarray) -> np.ndarray:
+        if not len(w):
+            return np.zeros(len(q), np.int64)
+        at = np.minimum(np.searchsorted(w, q), len(w) - 1)
+        return np.where(w[at] == q, n[at], 0)
+
+    return of
+
+
+def _answer(key, asks: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+    of = _counts(words)
+    return pd.DataFrame([(x.source, x.to, pack(of(unpack(x.payload)[0]))) for x in asks.itertuples()], columns=["bucket", "home", "payload"])
+
+
+def _seen(uni: np.ndarray):
+    """The unigram mass of the words seen after a heavy context, as far as one bucket holds them."""
+
+    def seen(key, asks: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        of, single = _counts(words), unigram_model(uni)
+        return pd.DataFrame([(x.source, float(single(of(unpack(x.payload)[0])).sum())) for x in asks.itertuples()], columns=["source", "mass"])
+
+    return seen
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -213,7 +299,23 @@ def unigram_model(n: np.ndarray):
     return lambda c: np.where(c > 0, np.where(c <= CUT, d[np.minimum(c, CUT)], 1.0) * c / max(total, 1), unknown)
 
 
-def _score(buckets: int, uni: np.ndarray, bi: np.ndarray):
+def _whole_contexts(counted: DataFrame, words: DataFrame, number: int, uni: np.ndarray, bi: np.ndarray) -> np.ndarray:
+    """Of each heavy context, over all its buckets: its tokens, what discounts leave of them, and the unigram mass of the words seen after it."""
+    sums = np.zeros((3, number))
+    if number:
+        tally, r, d = np.zeros((number, CUT + 3)), np.arange(1, CUT + 1), discounts(bi)[1:]
+        for row in counted.where("kind = 't'").select("source", "payload").toLocalIterator():  # 8 numbers for each bucket of a heavy context
+            tally[row[0]] += np.frombuffer(row[1], np.int64)
+        sums[0] = tally[:, CUT + 1]
+        sums[1] = sums[0] + (tally[:, :CUT] * r * (d - 1)).sum(axis=1)
+        asks = counted.where("kind = 'w'").select("to", "source", "payload")
+        mass = asks.groupBy("to").cogroup(words.groupBy("own")).applyInPandas(_seen(uni), "source int, mass double")
+        for row in mass.groupBy("source").agg(F.sum("mass")).toLocalIterator():
+            sums[2, row[0]] = row[1]
+    return sums
+
+
+def _score(buckets: int, uni: np.ndarray, bi: np.ndarray, heavy: np.ndarray, whole: np.ndarray):
     """Sums per chunk and document of a bucket's log probabilities, the model's and the base's, its known tokens and all of its tokens."""
 
     def score(key, pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -234,10 +336,12 @@ def _score(buckets: int, uni: np.ndarray, bi: np.ndarray):
         per = lambda x: np.add.reduceat(x, starts)
         d = discounts(bi)
         mass = np.where(n <= CUT, d[np.minimum(n, CUT)], 1.0) * n * (n > 0)
-        total = per(n).astype(float)
-        total += (total > 0) & (total - per(mass) < 1e-9)
-        left = np.where(total > 0, 1 - per(mass) / np.maximum(total, 1), 1.0)
-        alpha = left / (1 - per(np.where(n > 0, single, 0.0)))
+        total, kept, met = per(n).astype(float), per(mass), per(np.where(n > 0, single, 0.0))
+        which = _among(heavy, pre[starts])
+        for of, sums in zip((total, kept, met), whole):
+            of[which >= 0] = sums[which[which >= 0]]
+        total += (total > 0) & (total - kept < 1e-9)
+        alpha = np.where(total > 0, 1 - kept / np.maximum(total, 1), 1.0) / (1 - met)
         seen = n > 0
         logp = np.log10(np.where(seen, mass / np.maximum(total, 1)[context], alpha[context] * single))
         base = np.log10((count + 0.1) / (uni[CUT + 1] + 0.1 * (uni[CUT + 2] + 1)))
@@ -300,24 +404,30 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    heavy = _heavy(d, buckets)
+    release(spark)
     name = f"lendgrid_grams_{uuid.uuid4().hex}"
     tables = Tables()
     try:
         for turn in range(ROUNDS):
-            grams = d.mapInArrow(_emit(buckets, turn), "kind string, bucket int, chunk long, payload binary").repartition(buckets, "bucket")
+            grams = d.mapInArrow(_emit(buckets, turn, heavy), "kind string, bucket int, chunk long, payload binary").repartition(buckets, "bucket")
             grams.write.mode("append").option("compression", "none").bucketBy(buckets, "bucket").saveAsTable(name)
             del grams
             release(spark)
         table = spark.table(name)
-        counted = tables.written(table.where("kind <> 'm'").groupBy("bucket").applyInPandas(_count(buckets), "kind string, to int, source int, payload binary"))
+        counted = tables.written(table.where("kind <> 'm'").groupBy("bucket").applyInPandas(_count(buckets, heavy[0]), "kind string, to int, source int, payload binary"))
         tally = np.zeros(2 * (CUT + 3), np.int64)
         for row in counted.where("kind = 's'").select("payload").toLocalIterator():  # 16 numbers a bucket
             tally += np.frombuffer(row[0], np.int64)
         uni, bi = tally[: CUT + 3], tally[CUT + 3 :]
         asks = counted.where("kind = 'a'").select("to", "source", "payload")
         words = counted.where("kind = 'u'").select(F.col("to").alias("own"), F.col("payload").alias("words"))
-        answers = asks.groupBy("to").cogroup(words.groupBy("own")).applyInPandas(_answer, "bucket int, home int, payload binary")
-        sums = table.where("kind = 'b'").groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_score(buckets, uni, bi), "chunk long, kind string, payload binary")
+        whole = _whole_contexts(counted, words, len(heavy[0]), uni, bi)
+        answers = tables.written(asks.groupBy("to").cogroup(words.groupBy("own")).applyInPandas(_answer, "bucket int, home int, payload binary"))
+        del asks, words
+        tables.discard(counted)  # what was asked goes, here and from the shuffle, before the sums of documents are shuffled
+        release(spark)
+        sums = table.where("kind = 'b'").groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_score(buckets, uni, bi, heavy[0], whole), "chunk long, kind string, payload binary")
         parts = table.where("kind = 'm'").select("chunk", "kind", "payload").union(sums)
         return written(_whole(parts, int(uni[CUT + 1])))
     finally:

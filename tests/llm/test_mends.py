@@ -91,6 +91,29 @@ def test_katz_reports_documents_that_change(spark):
         katz.language_model_scores(_dealt_anew(docs(spark, rows), True)).collect()
 
 
+def test_katz_deals_common_contexts_over_buckets(spark, corpus, monkeypatch):  # noqa: F811
+    """No bucket holds a common context alone, also one pair too common to be dealt, and scores stay those of whole contexts."""
+    monkeypatch.setattr(katz, "PART_TOKENS", 40)
+    monkeypatch.setattr(katz, "SHARE", 1)
+    some = corpus + [(10_000 + i, " ".join(f"the w{(i * 40 + k) % 700} of" for k in range(40)), "en", None) for i in range(30)]
+    df, buckets = docs(spark, some), 16
+    assert _scores(df) == Counter(katz_brute(some))
+    heavy = katz._heavy(df.fillna("", "text"), buckets)
+    the = katz.xxhash.xxh64_intdigest(b"the")
+    assert dict(zip(heavy[0].tolist(), heavy[1].tolist()))[the] == buckets
+    rows = [(r.doc_id, False, r.text or "") for r in df.select("doc_id", "text").collect()]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], ["doc_id", "held", "text"])
+    held = Counter()
+    for turn in range(katz.ROUNDS):
+        for out in katz._emit(buckets, turn, heavy)([batch]):
+            for r in out.to_pylist():
+                if r["kind"] == "b":
+                    assert r["bucket"] % katz.ROUNDS == turn
+                    pre, runs, _, _, times, _ = katz.unpack(r["payload"])
+                    held[r["bucket"]] += int(times[np.repeat(pre, runs) == the].sum())
+    assert len(held) == buckets and sum(held.values()) >= 1200 and max(held.values()) < 0.15 * sum(held.values())
+
+
 def test_line_tables_go_before_lines_are_joined(spark, monkeypatch):
     """When the result is written, of all tables only lines, roots and what keeps a line are left."""
     made = []
