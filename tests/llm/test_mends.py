@@ -146,3 +146,35 @@ def test_near_copies_give_few_pairs(spark):
     with lines.Tables() as tables:
         got = {(min(r.a, r.b), max(r.a, r.b)) for r in lines.prefix_pairs(spark.createDataFrame(sets, "k1 long, g array<int>"), roots, tables).collect()}
     assert len(want) >= 20 and want <= got and len(got) < len(want) + 200
+
+
+def test_lines_are_shuffled_a_deal_at_a_time_where_tables_are_not_few(spark, monkeypatch):
+    """With no table small enough to broadcast: bands of one deal, an eighth of the lines, some prefixes and pairs at a time; the result is the same."""
+    rng = random.Random(11)
+    word = lambda: f"{rng.randrange(10**6):06d}"
+    base, texts = [word() for _ in range(40)], []
+    for _ in range(40):
+        w = list(base)
+        for k in rng.sample(range(40), 3):
+            w[k] = word()
+        texts.append(" ".join(w))
+    texts += [" ".join(word() for _ in range(12)) for _ in range(30)]
+    table = docs(spark, [(i, t, None, None) for i, t in enumerate(texts + texts[:5])])
+    want = sorted(map(tuple, lines.line_components(table).collect()))
+    deals, text, pairs = [], [], []
+
+    def counted(f, note):
+        return lambda *a, **b: (note(*a), f(*a, **b))[1]
+
+    monkeypatch.setattr(scratch, "FEW", 0)
+    monkeypatch.setattr(lines, "FEW", 0)
+    monkeypatch.setattr(lines, "CROWDED", 4)
+    monkeypatch.setattr(lines, "PREFIXES", 2000)
+    monkeypatch.setattr(lines, "PAIRS", 30)
+    monkeypatch.setattr(lines, "band_rows", counted(lines.band_rows, lambda sigs, of: deals.append(list(of))))
+    monkeypatch.setattr(lines, "shingle_sets", counted(lines.shingle_sets, lambda own, wanted: text.append(own.count())))
+    monkeypatch.setattr(lines, "similar_pairs", counted(lines.similar_pairs, lambda p, sets: pairs.append(p.count())))
+    got = sorted(map(tuple, lines.line_components(table).collect()))
+    assert len(got) == 75 and got == want
+    assert len(deals) == 2 * lines.DEALS and all(len(d) == 1 for d in deals)
+    assert sum(text) == 75 and max(text) < 30 and len(pairs) > 3 and max(pairs) < 60
